@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 from urllib.parse import urlparse
 
 import pyarrow.fs as pafs
@@ -48,5 +50,9 @@ def store(uri: str) -> tuple[pafs.FileSystem, str]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the input tables."""
+    """One of the input tables. Workers that a session started elsewhere are told where this package is."""
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

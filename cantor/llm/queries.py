@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import licenses, mixing, packing, quality
+from . import langid, licenses, minhash, mixing, packing, quality
 from ._common import table
 from .sql import LICENSE_SQL, MIXING_SQL, QUALITY_SQL
 
@@ -19,6 +20,13 @@ def op5_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op7_word_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    model = langid.fit(docs, ~held_out)
+    return langid.identify(docs, model).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op8_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.replicate(table(spark, sf_dir, "documents"))
 
@@ -28,11 +36,17 @@ def op9_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents")).select(*kept)
 
 
+def op10_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op5_license_sentences": op5_license_sentences,
+    "op7_word_backoff": op7_word_backoff,
     "op8_poisson_mixing": op8_poisson_mixing,
     "op9_weak_supervision": op9_weak_supervision,
+    "op10_lsh_forest": op10_lsh_forest,
 }
 
 ORACLE_SQL: dict[str, str] = {
