@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, minhash, mixing, packing, quality
+from . import ann, langid, licenses, minhash, mixing, packing, quality, warc
 from ._common import table
 from .sql import LICENSE_SQL, MIXING_SQL, QUALITY_SQL
 
@@ -16,6 +16,14 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op3_chunked_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op4_ivf_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -42,6 +50,8 @@ def op10_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op3_chunked_warc": op3_chunked_warc,
+    "op4_ivf_pq": op4_ivf_pq,
     "op5_license_sentences": op5_license_sentences,
     "op7_word_backoff": op7_word_backoff,
     "op8_poisson_mixing": op8_poisson_mixing,
