@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, langid, licenses, minhash, mixing, packing, quality, warc
+from . import ann, langid, licenses, minhash, mixing, packing, quality, tokenscan, warc
 from ._common import table
 from .sql import LICENSE_SQL, MIXING_SQL, QUALITY_SQL
 
@@ -28,6 +28,10 @@ def op5_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op6_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenscan.token_counts(table(spark, sf_dir, "documents"))
+
+
 def op7_word_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chunked_warc": op3_chunked_warc,
     "op4_ivf_pq": op4_ivf_pq,
     "op5_license_sentences": op5_license_sentences,
+    "op6_separator_scan": op6_separator_scan,
     "op7_word_backoff": op7_word_backoff,
     "op8_poisson_mixing": op8_poisson_mixing,
     "op9_weak_supervision": op9_weak_supervision,
