@@ -49,10 +49,15 @@ def store(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the input tables. Workers that a session started elsewhere are told where this package is."""
+def workers_import(spark: SparkSession) -> None:
+    """Tells the workers of a session that was started elsewhere where this package is."""
     root = str(Path(__file__).resolve().parents[2])
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the input tables."""
+    workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

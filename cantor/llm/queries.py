@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, langid, licenses, minhash, mixing, packing, quality, tokenscan, warc
+from . import ann, langid, licenses, minhash, mixing, packing, pii, quality, tokenscan, warc
 from ._common import table
 from .sql import LICENSE_SQL, MIXING_SQL, QUALITY_SQL
 
@@ -16,6 +16,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op2_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs))
+
+
 def op3_chunked_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -54,6 +59,7 @@ def op10_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_skip_chain": op2_skip_chain,
     "op3_chunked_warc": op3_chunked_warc,
     "op4_ivf_pq": op4_ivf_pq,
     "op5_license_sentences": op5_license_sentences,
