@@ -6,7 +6,7 @@
    orders are sorted in one range-partitioned sort, so no prefix, however common, lands in one task. Neighbours with
    a common prefix of at least LEAST bytes form a region; a region over REGION rows is cut at longer prefixes, as
    deep as it takes there. Within a region a sketch of SKETCH bytes is compared, and pairs that look alike enough
-   to be links (EST, five standard deviations under the threshold) are thinned to a spanning forest.
+   to be links (EST, five standard deviations under the threshold) are thinned to a spanning forest of all that the task has seen.
 4. The forest's pairs give coarse clusters. They are a net to be searched, not a result: every pair of
    a cluster of up to BLOCK documents is compared on its full shingle sets. Larger clusters are dealt into blocks
    of BLOCK documents; up to WHOLE documents, each two blocks are compared; beyond, blocks are overlapping
@@ -42,6 +42,8 @@ SKETCH, EST = 64, 40
 BLOCK, WHOLE, ORDERS = 256, 4096, 10
 #: Rows that a task sorting through the forest holds of one region before it is cut.
 HELD = 50_000
+#: Documents whose pairs such a task remembers, to leave out pairs that join nothing new.
+KNOWN = 200_000
 #: Incidence columns per step of the exact comparison.
 COLUMNS = 2048
 
@@ -142,16 +144,29 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches sorted by tree and key: tree int, key binary, sketch binary, doc_id long. Result: pairs."""
     width = 1 + DEPTH
     held: list[np.ndarray] = []
-    sent: dict[tuple, None] = {}
+    parent: dict[int, int] = {}
+    sent: list[tuple[int, int]] = []
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
 
     def flush(rows: list[np.ndarray]):
         if sum(map(len, rows)) > 1:
             m = np.concatenate(rows)
-            a, b = _links_of_region(m["id"], m["key"][:, 1:], m["sketch"])
-            sent.update(dict.fromkeys((min(p), max(p)) for p in zip(map(int, a), map(int, b), strict=True)))
+            # Only pairs that join what this task hasn't joined yet.
+            for pair in zip(*_links_of_region(m["id"], m["key"][:, 1:], m["sketch"]), strict=True):
+                a, b = sorted(root(int(x)) for x in pair)
+                if a != b:
+                    parent[b] = a
+                    sent.append((a, b))
+            if len(parent) > KNOWN:
+                parent.clear()
 
     def out():
-        pairs = np.array(list(sent), np.int64).reshape(-1, 2)
+        pairs = np.array(sent, np.int64).reshape(-1, 2)
         sent.clear()
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
