@@ -126,7 +126,7 @@ ORACLE_SQL: dict[str, str] = {
     "word_archive": _with("SELECT book_id, anchor_id, count(*) AS n_words, string_agg(bf || ':' || norm || ':' || score, ' ' ORDER BY g) AS words FROM aligned GROUP BY ALL", "aligned"),
     "upper_median": "SELECT user_id, list_sort(list(value))[count(value) // 2 + 1] AS median FROM events GROUP BY user_id",
     "span_coverage": _with("SELECT * FROM covered", "covered"),
-    "apparatus": _with("SELECT * FROM covered", "covered").replace("frags AS (SELECT *, 'text-p' || ord AS anchor_id FROM lines", f"frags AS (SELECT * REPLACE ({_RENAMED} AS anchor_id) FROM (SELECT *, 'text-p' || ord AS anchor_id FROM lines)").replace("'text-p' || ord AS anchor_id, g * 30", f"{_RENAMED.replace('ELSE anchor_id', '''ELSE 'text-p' || ord''')} AS anchor_id, g * 30"),
+    "apparatus": _with("SELECT * FROM covered", "covered").replace("frags AS MATERIALIZED (SELECT *, 'text-p' || ord AS anchor_id FROM lines", f"frags AS MATERIALIZED (SELECT * REPLACE ({_RENAMED} AS anchor_id) FROM (SELECT *, 'text-p' || ord AS anchor_id FROM lines)").replace("'text-p' || ord AS anchor_id, g * 30", f"{_RENAMED.replace('ELSE anchor_id', '''ELSE 'text-p' || ord''')} AS anchor_id, g * 30"),
     "inversions": "SELECT user_id AS book_id, count(*) FILTER (value < before - 1) AS inversions FROM (SELECT user_id, value, lag(value) OVER (PARTITION BY user_id ORDER BY event_id) AS before FROM events) GROUP BY user_id",
     "confidence": _with("SELECT book_id, count(*) AS phrases, list_sort(list(conf))[count(*) // 2 + 1]::DOUBLE AS median_conf FROM prows GROUP BY book_id", "prows"),
     "lead_tail": _with("SELECT * FROM ended", "ended"),
