@@ -33,6 +33,8 @@ SAMPLE, WORDS, GRAMS = 4000, 20_000, 30_000
 LONGEST = 4
 SMOOTH = 0.5
 CACHE = 300_000
+#: Words of a text that are scored at a time; their number is under CACHE.
+CHUNK = 100_000
 LETTERS = regex.compile(r"\p{L}+")
 
 
@@ -63,12 +65,26 @@ class Model:
                     for gram in grams_of(word, n):
                         by_gram[label][n][gram] += k
         self.labels, self.longest = sorted(by_word), longest
-        self.words = self._table([by_word[x] for x in self.labels], words)
+        # Row 0 of the vectors is for words of which nothing is known.
+        self.vectors = [np.zeros(len(self.labels))]
+        self.words = self._numbered([by_word[x] for x in self.labels], words)
         self.grams = {}
         for n in range(1, longest + 1):
-            self.grams |= self._table([by_gram[x][n] for x in self.labels], grams)
-        self.zero = np.zeros(len(self.labels))
-        self.cache: dict[str, np.ndarray] = {}
+            self.grams |= self._numbered([by_gram[x][n] for x in self.labels], grams)
+        self.vectors = np.array(self.vectors)
+        self._forget()
+
+    def _forget(self) -> None:
+        """Empties the cache: row of the store by word."""
+        self.cache: dict[str, int] = {}
+        self.store = np.empty((0, len(self.labels)))
+
+    def _numbered(self, counts: list[Counter], most: int) -> dict[str, int]:
+        """Rows of the vectors (log probabilities less their mean over the languages) by word or gram."""
+        table = self._table(counts, most)
+        first = len(self.vectors)
+        self.vectors += [v - v.mean() for v in table.values()]
+        return {x: first + i for i, x in enumerate(table)}
 
     @staticmethod
     def _table(counts: list[Counter], most: int) -> dict[str, np.ndarray]:
@@ -76,45 +92,53 @@ class Model:
         totals = [sum(c.values()) + SMOOTH * max(1, len(kept)) for c in counts]
         return {x: np.log([(c[x] + SMOOTH) / t for c, t in zip(counts, totals, strict=True)]) for x in kept}
 
-    def _backed_off(self, word: str) -> np.ndarray:
-        """Mean over positions of the longest known gram's log probability, relative to the languages' mean."""
-        total, n = self.zero.copy(), 0
-        edged = f"<{word}>"
-        i = 0
-        while i < len(edged):
-            for k in range(min(self.longest, len(edged) - i), 0, -1):
-                found = self.grams.get(edged[i : i + k])
-                if found is not None:
-                    total += found - found.mean()
-                    n += 1
+    def _backed_off(self, word: str) -> list[int]:
+        """At each position the longest known gram."""
+        found, get, edged = [], self.grams.get, f"<{word}>"
+        for i in range(len(edged)):
+            for end in range(min(i + self.longest, len(edged)), i, -1):
+                row = get(edged[i:end])
+                if row is not None:
+                    found.append(row)
                     break
-            i += 1
-        return total / math.sqrt(n) if n else total
-
-    def word(self, word: str) -> np.ndarray:
-        got = self.cache.get(word)
-        if got is None:
-            known = self.words.get(word)
-            got = known - known.mean() if known is not None else self._backed_off(word)
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            self.cache[word] = got
-        return got
+        return found or [0]
+
+    def _cached(self, words: list[str]) -> None:
+        """Scores the words that aren't in the cache, all at once: a word's grams are summed over the root of their number."""
+        new = [w for w in set(words) if w not in self.cache]
+        if not new:
+            return
+        if len(self.cache) + len(new) > CACHE:
+            self._forget()
+            new = list(set(words))
+        parts = [[row] if (row := self.words.get(w)) is not None else self._backed_off(w) for w in new]
+        sizes = np.array([len(p) for p in parts])
+        flat = np.fromiter((row for p in parts for row in p), np.int64, int(sizes.sum()))
+        sums = np.add.reduceat(self.vectors[flat], np.cumsum(sizes) - sizes, axis=0) / np.sqrt(sizes)[:, None]
+        first = len(self.cache)
+        if first + len(new) > len(self.store):
+            grown = np.empty((max(first + len(new), 2 * len(self.store)), len(self.labels)))
+            grown[:first] = self.store[:first]
+            self.store = grown
+        self.store[first : first + len(new)] = sums
+        self.cache.update(zip(new, range(first, first + len(new))))
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = words_of(text) if text and self.labels else []
         if not words:
             return UNKNOWN, 0.0
-        total = self.zero.copy()
-        for w, k in Counter(words).items():
-            total += k * self.word(w)
+        total = np.zeros(len(self.labels))
+        for i in range(0, len(words), CHUNK):
+            part = words[i : i + CHUNK]
+            self._cached(part)
+            total += self.store[np.fromiter(map(self.cache.__getitem__, part), np.int64, len(part))].sum(axis=0)
         total /= math.sqrt(len(words))
         best = int(total.argmax())
         p = np.exp(total - total[best])
         return self.labels[best], float(p[best] / p.sum())
 
     def __getstate__(self):
-        return self.__dict__ | {"cache": {}}
+        return self.__dict__ | {"cache": {}, "store": self.store[:0]}
 
 
 def fit(docs: DataFrame, learnt: Column, key: str = "doc_id", text: str = "text", label: str = "lang", sample: int = SAMPLE, **sizes) -> Model:
