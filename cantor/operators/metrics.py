@@ -103,9 +103,12 @@ def measures(covered: DataFrame, confident: DataFrame, turned: DataFrame, ended:
     )
 
 
-def lock_score(pairs: DataFrame, key: list[str], score: str = "score", begin: str = "begin_secs", order: str = "g") -> DataFrame:
-    """Mean word score times how speech-like the upper-median gap between begins is; 0.3 s where there is one word."""
-    gap = F.lead(begin).over(Window.partitionBy(*key).orderBy(order)) - F.col(begin)
-    rows = pairs.withColumn("_gap", gap).groupBy(*key).agg(F.avg(score).alias("_mean"), F.array_compact(F.collect_list("_gap")).alias("_gaps"))
+def lock_score(pairs: DataFrame, key: list[str], score: str = "score", begin: str = "begin_secs", order: str = "g", per: int = 1) -> DataFrame:
+    """Mean word score times how speech-like the upper-median gap between begins is; 0.3 s where there is one word.
+
+    Scores and begins may be whole numbers of 1 / per: they add up exactly then, in whatever order rows arrive.
+    """
+    gap = (F.lead(begin).over(Window.partitionBy(*key).orderBy(order)) - F.col(begin)) / per
+    rows = pairs.withColumn("_gap", gap).groupBy(*key).agg((F.avg(score) / per).alias("_mean"), F.array_compact(F.collect_list("_gap")).alias("_gaps"))
     median = F.when(F.size("_gaps") == 0, 0.3).otherwise(upper_median(F.col("_gaps")))
     return rows.select(*key, (F.col("_mean") * plausibility(median)).alias("lock_score"))

@@ -286,8 +286,8 @@ def section_anchors(spark, d):
 
 def lock_scores(spark, d):
     """Chunks of 45 words as locks."""
-    rows = _aligned(spark, d).select("book_id", F.floor(F.col("g") / 45).alias("chunk"), "g", (F.col("bf") / 100).alias("begin_secs"), (F.col("score") / 100).alias("score"))
-    return metrics.lock_score(rows, ["book_id", "chunk"]).select("book_id", "chunk", F.floor(F.col("lock_score") * 1e6 + 0.5).cast("long").alias("lock_micro"))
+    rows = _aligned(spark, d).select("book_id", F.floor(F.col("g") / 45).alias("chunk"), "g", F.col("bf").alias("begin_secs"), "score")
+    return metrics.lock_score(rows, ["book_id", "chunk"], per=100).select("book_id", "chunk", F.floor(F.col("lock_score") * 1e6 + 0.5).cast("long").alias("lock_micro"))
 
 
 def chunk_sizes(spark, d):
