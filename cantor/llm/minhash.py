@@ -9,8 +9,10 @@
    to be links (EST, five standard deviations under the threshold) are thinned to a spanning forest of all that the task has seen.
 4. The forest's pairs give coarse clusters. They are a net to be searched, not a result: every pair of
    a cluster of up to BLOCK documents is compared on its full shingle sets. Larger clusters are dealt into blocks
-   of BLOCK documents; up to WHOLE documents, each two blocks are compared; beyond, blocks are overlapping
-   runs in ORDERS sorted orders (comparing all of them would grow with the square there).
+   of BLOCK documents; up to WHOLE documents, each two blocks are compared. Beyond, overlapping runs in ORDERS sorted
+   orders join most of what belongs together, and what they leave in several parts is compared by a prefix filter:
+   two sets that are a link share one of the rarest shingles of both, few enough to be joined on. It leaves out
+   no link; only pairs of one part, which add nothing, and of sizes too far apart are passed over.
 5. Confirmed links give the components; copies get their representative's.
 
 Each text is sent once to the task that compares its cluster (more often only in clusters over BLOCK). Nothing of
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._common import materialize, short_batches
@@ -260,13 +262,13 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(groups, pa.string()), pa.array(nodes, pa.int64())], names=["g", "node"])
 
 
-def _dealt(clusters: DataFrame, signs: DataFrame) -> DataFrame:
-    """g, doc_id: the groups whose documents are compared. Three recipes by the cluster's size."""
+def _dealt(clusters: DataFrame, signs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """g, doc_id: the groups whose documents are compared, by three recipes; and the clusters that runs don't settle."""
     sizes = materialize(clusters.groupBy("component").agg(F.count("*").alias("n")).where(f"n > {BLOCK}"), "sizes")
     named = clusters.join(sizes, "component", "left")
     small = named.where("n is null").select(F.concat_ws(":", F.lit("c"), "component").alias("g"), "node")
     if not sizes.limit(1).count():
-        return small
+        return small, None
     big = materialize(named.where("n is not null"), "big")
     # Each two blocks of a cluster: a document goes with every other block of its cluster.
     blocks = F.ceil(F.col("n") / (BLOCK // 2)).cast("int")
@@ -275,7 +277,7 @@ def _dealt(clusters: DataFrame, signs: DataFrame) -> DataFrame:
     paired = paired.select(F.concat_ws(":", F.lit("p"), "component", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("g"), "node")
     huge = big.where(f"n > {WHOLE}")
     if not huge.limit(1).count():
-        return small.union(paired)
+        return small.union(paired), None
     # Sorted by several signature orders and cut into runs of half a block, one after another within a partition.
     spread = F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1)))
     keyed = huge.join(signs.select(F.col("doc_id").alias("node"), "sign"), "node").withColumn("_o", spread)
@@ -283,7 +285,60 @@ def _dealt(clusters: DataFrame, signs: DataFrame) -> DataFrame:
     parts = int(clusters.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["component", "_o", "_k", "node"]
     windows = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("component", "_o", "node").mapInArrow(_runs, "g string, node long")
-    return small.union(paired).union(windows)
+    return small.union(paired).union(windows), huge.select("component", "node")
+
+
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches: cluster, part, node, minor, text. Result: the text's shingles for it."""
+    for b in batches:
+        for i in range(b.num_rows):
+            s = shingle_set(b.column(4)[i].as_py())
+            rest = [c.slice(i, 1) for c in b.columns[:4]]
+            yield pa.RecordBatch.from_arrays([*rest, pa.array([s.view(np.int64)], pa.list_(pa.int64()))], names=["cluster", "part", "node", "minor", "shingles"])
+
+
+def _rest(huge: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame | None:
+    """g, node: groups that hold every possible link between different parts of clusters; None if all are in one part.
+
+    huge: component, node; found: components of the links so far; texts: node, text.
+
+    Shingles are put in an order, the rarest of the cluster first. Of two sets with PART * intersection >= OF * union
+    each has OF / PART of its shingles in common with the other, so that the first common one is among the first
+    size - ceil(OF * size / PART) + 1 of both. A pair has one side at least outside its cluster's largest part: that
+    side goes to every block of a shingle's documents, so that no shingle, however common, lands in one task.
+    """
+    named = huge.select(F.col("component").alias("cluster"), "node").join(found.withColumnRenamed("component", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
+    sizes = named.groupBy("cluster", "part").agg(F.count("*").alias("n"))
+    split = sizes.groupBy("cluster").agg(F.max_by("part", F.struct("n", "part")).alias("major"), F.count("*").alias("parts"), F.sum("n").alias("_all")).where("parts > 1")
+    split = materialize(split, "split")
+    if not split.limit(1).count():
+        return None
+    rows = named.join(split.select("cluster", "major", "_all"), "cluster").withColumn("minor", F.col("part") != F.col("major"))
+    sets = rows.join(texts, "node").select("cluster", "part", "node", "minor", "text").mapInArrow(_shingles, "cluster long, part long, node long, minor boolean, shingles array<long>")
+    # A repeated id may have several texts: each is a row.
+    sets = materialize(sets.withColumn("row", F.monotonically_increasing_id()), "sets_of_rest").withColumn("size", F.size("shingles"))
+    each = sets.select("cluster", "part", "node", "minor", "row", "size", F.explode("shingles").alias("s"))
+    often = materialize(each.groupBy("cluster", "s").agg(F.count("*").alias("often")), "often")
+    place = F.row_number().over(Window.partitionBy("row").orderBy("often", "s"))
+    first = each.join(often, ["cluster", "s"]).withColumn("place", place).where(f"place <= size - (size * {OF} + {PART - 1}) div {PART} + 1 and often > 1")
+    first = materialize(first.drop("often"), "prefixes")
+    # Shingles that lie in one part only join nothing new.
+    useful = first.groupBy("cluster", "s").agg(F.min("part").alias("_low"), F.max("part").alias("_high"), F.count("*").alias("n")).where("_low < _high")
+    dealt = materialize(first.join(useful.select("cluster", "s", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), ["cluster", "s"]), "dealt")
+    columns = ["cluster", "s", "part", "node", "size", "place"]
+    one = dealt.withColumn("_b", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).select("_b", *columns)
+    other = dealt.where("minor").withColumn("_b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("_b", "cluster", "s", *(F.col(c).alias(f"{c}2") for c in columns[2:]))
+    # Common shingles are at most this one and those after it in both.
+    most = 1 + F.least(F.col("size") - F.col("place"), F.col("size2") - F.col("place2"))
+    earlier = F.least("place", "place2") - 1
+    possible = (F.lit(PART) * (most + earlier) >= F.lit(OF) * (F.col("size") + F.col("size2") - most - earlier)) & (F.lit(PART) * F.least("size", "size2") >= F.lit(OF) * F.greatest("size", "size2"))
+    pairs = one.hint("merge").join(other, ["cluster", "s", "_b"]).where((F.col("part") != F.col("part2")) & possible)
+    # Pairs are compared in tiles: one block of the cluster with another.
+    tiles = F.ceil(F.col("_all") / (BLOCK // 2))
+    tile = lambda c: F.pmod(F.xxhash64(c), tiles)
+    pairs = pairs.join(F.broadcast(split.select("cluster", "_all")), "cluster").withColumns({"_t": tile("node"), "_t2": tile("node2")})
+    g = F.concat_ws(":", F.lit("r"), "cluster", F.least("_t", "_t2"), F.greatest("_t", "_t2"))
+    return pairs.select(g.alias("g"), F.explode(F.array("node", "node2")).alias("node")).distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -306,11 +361,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     coarse = materialize(order.mapInArrow(_forest, "a long, b long").distinct(), "coarse")
     clusters = components(coarse)
     # Exact links within the clusters.
-    groups = materialize(_dealt(clusters, same.withColumnRenamed("rep", "doc_id")), "groups")
+    groups, huge = _dealt(clusters, same.withColumnRenamed("rep", "doc_id"))
     # A repeated id stands once; its rows may differ, and each goes with its own set's representative.
-    sent = groups.join(texts.withColumnRenamed("doc_id", "node"), "node")
-    confirmed = sent.select("g", "node", "text").repartition(parts, "g").sortWithinPartitions("g").mapInArrow(_confirm, "a long, b long")
-    found = components(materialize(confirmed.distinct(), "links"))
+    named = texts.withColumnRenamed("doc_id", "node")
+
+    def confirmed(groups: DataFrame) -> DataFrame:
+        sent = materialize(groups, "groups").join(named, "node").select("g", "node", "text")
+        return materialize(sent.repartition(parts, "g").sortWithinPartitions("g").mapInArrow(_confirm, "a long, b long").distinct(), "links")
+
+    links = confirmed(groups)
+    found = components(links)
+    if huge is not None and (rest := _rest(huge, found, named)) is not None:
+        found = components(links.union(confirmed(rest)))
     lasting = same.select("digest", "n_shingles", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.col("n_shingles").alias("_n"), F.least("rep", F.coalesce("component", "rep")).alias("_c"))
     # Only sets that aren't alone are looked up; the rest are their own component.
     lasting = materialize(lasting, "sets")
