@@ -4,9 +4,9 @@
 2. Documents with equal sets fall together by digest; the smallest id stands for them. The rest works on these.
 3. Forest: each representative has a row in each of TREES orders, keyed by DEPTH signature bytes. The rows of all
    orders are sorted in one range-partitioned sort, so no prefix, however common, lands in one task. Neighbours with
-   a common prefix of at least LEAST bytes form a region; a region over REGION rows is cut at longer prefixes, as
+   a common prefix of at least least_prefix() bytes form a region; a region over REGION rows is cut at longer prefixes, as
    deep as it takes there. Within a region a sketch of SKETCH bytes is compared, and pairs that look alike enough
-   to be links (EST, five standard deviations under the threshold) are thinned to a spanning forest of all that the task has seen.
+   to be links (least_alike(), five standard deviations under the threshold) are thinned to a spanning forest of all that the task has seen.
 4. The forest's pairs give coarse clusters. They are a net to be searched, not a result: every pair of
    a cluster of up to BLOCK documents is compared on its full shingle sets. Larger clusters are dealt into blocks
    of BLOCK documents; up to WHOLE documents, each two blocks are compared. Beyond, overlapping runs in ORDERS sorted
@@ -26,6 +26,7 @@ component of its own, null. An empty table gives an empty result. Other columns
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +38,12 @@ from ._common import materialize, short_batches
 from .components import components
 from .shingles import mix, shingle_set
 
-#: Links: PART * intersection >= OF * union.
+#: Links: PART * intersection >= threshold * union, with the threshold in hundredths; OF unless one is given.
 PART, OF = 100, 85
-TREES, DEPTH, LEAST, REGION = 20, 12, 5, 256
-SKETCH, EST = 64, 40
+TREES, DEPTH, REGION = 20, 12, 256
+SKETCH = 64
+#: Chance, at most, that a pair at the threshold shares no region in any tree.
+MISSED = 1e-5
 BLOCK, WHOLE, ORDERS = 256, 4096, 10
 #: Rows that a task sorting through the forest holds of one region before it is cut.
 HELD = 50_000
@@ -54,6 +57,17 @@ _A = (mix(np.arange(1, _N + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _B = (mix(np.arange(_N + 1, 2 * _N + 1, dtype=np.uint64)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
+def least_prefix(of: int) -> int:
+    """LEAST: the longest common prefix, in bytes, that pairs at the threshold miss in all trees by MISSED at most."""
+    return max(k for k in range(1, DEPTH + 1) if k == 1 or (1 - (of / PART) ** k) ** TREES <= MISSED)
+
+
+def least_alike(of: int) -> int:
+    """EST: sketch bytes that agree, five standard deviations under what is expected of a pair at the threshold."""
+    p = of / PART
+    return int(SKETCH * p - 5 * (SKETCH * p * (1 - p)) ** 0.5)
+
+
 def signature(shingles: np.ndarray) -> bytes:
     """A byte per minimum hash: TREES keys of DEPTH bytes, then the sketch."""
     low = np.full(_N, 0xFFFFFFFF, np.uint32)
@@ -94,15 +108,15 @@ def _join(pairs, n: int) -> list[int]:
     return [_find(parent, i) for i in range(n)]
 
 
-def _alike(sketches: np.ndarray) -> np.ndarray:
-    """Pairs of rows whose sketches agree in EST bytes or more."""
+def _alike(sketches: np.ndarray, est: int) -> np.ndarray:
+    """Pairs of rows whose sketches agree in est bytes or more."""
     n = len(sketches)
     if n == 2:
-        return np.array([[0, 1]] if np.count_nonzero(sketches[0] == sketches[1]) >= EST else [], np.int64).reshape(-1, 2)
+        return np.array([[0, 1]] if np.count_nonzero(sketches[0] == sketches[1]) >= est else [], np.int64).reshape(-1, 2)
     found = []
     for k in range(0, n, 64):
         same = (sketches[k : k + 64, None, :] == sketches[None, :, :]).sum(axis=2, dtype=np.uint16)
-        i, j = np.nonzero(same >= EST)
+        i, j = np.nonzero(same >= est)
         found.append(np.stack([i + k, j], 1))
     pairs = np.concatenate(found)
     return pairs[pairs[:, 0] < pairs[:, 1]]
@@ -131,10 +145,10 @@ def _regions(keys: np.ndarray, low: int, high: int, depth: int, size: int):
         yield from _regions(keys, a, b, depth + 1, size)
 
 
-def _links_of_region(ids: np.ndarray, keys: np.ndarray, sketches: np.ndarray) -> tuple[list, list]:
+def _links_of_region(ids: np.ndarray, keys: np.ndarray, sketches: np.ndarray, least: int, est: int) -> tuple[list, list]:
     a, b = [], []
-    for low, high in _regions(keys, 0, len(ids), LEAST, REGION):
-        roots = _join(_alike(sketches[low:high]), high - low)
+    for low, high in _regions(keys, 0, len(ids), least, REGION):
+        roots = _join(_alike(sketches[low:high], est), high - low)
         for i, r in enumerate(roots):
             if i != r:
                 a.append(ids[low + r])
@@ -142,9 +156,9 @@ def _links_of_region(ids: np.ndarray, keys: np.ndarray, sketches: np.ndarray) ->
     return a, b
 
 
-def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _forest(batches: Iterator[pa.RecordBatch], of: int) -> Iterator[pa.RecordBatch]:
     """Batches sorted by tree and key: tree int, key binary, sketch binary, doc_id long. Result: pairs."""
-    width = 1 + DEPTH
+    width, least, est = 1 + DEPTH, least_prefix(of), least_alike(of)
     held: list[np.ndarray] = []
     parent: dict[int, int] = {}
     sent: list[tuple[int, int]] = []
@@ -159,7 +173,7 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if sum(map(len, rows)) > 1:
             m = np.concatenate(rows)
             # Only pairs that join what this task hasn't joined yet.
-            for pair in zip(*_links_of_region(m["id"], m["key"][:, 1:], m["sketch"]), strict=True):
+            for pair in zip(*_links_of_region(m["id"], m["key"][:, 1:], m["sketch"], least, est), strict=True):
                 a, b = sorted(root(int(x)) for x in pair)
                 if a != b:
                     parent[b] = a
@@ -182,7 +196,7 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m["id"] = b.column(2).to_numpy(zero_copy_only=False)
         m["key"] = np.frombuffer(b"".join(b.column(0).to_pylist()), np.uint8).reshape(n, width)
         m["sketch"] = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(n, SKETCH)
-        prefix = np.ascontiguousarray(m["key"][:, : 1 + LEAST])
+        prefix = np.ascontiguousarray(m["key"][:, : 1 + least])
         new = np.flatnonzero((prefix[1:] != prefix[:-1]).any(axis=1)) + 1
         cuts = [0, *new.tolist(), n]
         for low, high in zip(cuts, cuts[1:], strict=False):
@@ -224,14 +238,14 @@ def exact_pairs(sets: list[np.ndarray], part: int = PART, of: int = OF) -> np.nd
     return np.stack([i, j], 1)[i < j]
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _confirm(batches: Iterator[pa.RecordBatch], of: int) -> Iterator[pa.RecordBatch]:
     """Batches sorted by group: g, doc_id, text. Result: a star of confirmed links per component of each group."""
     group, ids, sets = None, [], []
 
     def links():
         a, b = [], []
         if len(ids) > 1:
-            for i, r in enumerate(_join(exact_pairs(sets), len(ids))):
+            for i, r in enumerate(_join(exact_pairs(sets, of=of), len(ids))):
                 if i != r:
                     a.append(ids[r])
                     b.append(ids[i])
@@ -297,14 +311,14 @@ def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*rest, pa.array([s.view(np.int64)], pa.list_(pa.int64()))], names=["cluster", "part", "node", "minor", "shingles"])
 
 
-def _rest(huge: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame | None:
+def _rest(huge: DataFrame, found: DataFrame, texts: DataFrame, threshold: int) -> DataFrame | None:
     """g, node: groups that hold every possible link between different parts of clusters; None if all are in one part.
 
     huge: component, node; found: components of the links so far; texts: node, text.
 
-    Shingles are put in an order, the rarest of the cluster first. Of two sets with PART * intersection >= OF * union
-    each has OF / PART of its shingles in common with the other, so that the first common one is among the first
-    size - ceil(OF * size / PART) + 1 of both. A pair has one side at least outside its cluster's largest part: that
+    Shingles are put in an order, the rarest of the cluster first. Of two sets with PART * intersection >= threshold * union
+    each has threshold / PART of its shingles in common with the other, so that the first common one is among the first
+    size - ceil(threshold * size / PART) + 1 of both. A pair has one side at least outside its cluster's largest part: that
     side goes to every block of a shingle's documents, so that no shingle, however common, lands in one task.
     """
     named = huge.select(F.col("component").alias("cluster"), "node").join(found.withColumnRenamed("component", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
@@ -320,7 +334,7 @@ def _rest(huge: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame | No
     each = sets.select("cluster", "part", "node", "minor", "row", "size", F.explode("shingles").alias("s"))
     often = materialize(each.groupBy("cluster", "s").agg(F.count("*").alias("often")), "often")
     place = F.row_number().over(Window.partitionBy("row").orderBy("often", "s"))
-    first = each.join(often, ["cluster", "s"]).withColumn("place", place).where(f"place <= size - (size * {OF} + {PART - 1}) div {PART} + 1 and often > 1")
+    first = each.join(often, ["cluster", "s"]).withColumn("place", place).where(f"place <= size - (size * {threshold} + {PART - 1}) div {PART} + 1 and often > 1")
     first = materialize(first.drop("often"), "prefixes")
     # Shingles that lie in one part only join nothing new.
     useful = first.groupBy("cluster", "s").agg(F.min("part").alias("_low"), F.max("part").alias("_high"), F.count("*").alias("n")).where("_low < _high")
@@ -331,7 +345,7 @@ def _rest(huge: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame | No
     # Common shingles are at most this one and those after it in both.
     most = 1 + F.least(F.col("size") - F.col("place"), F.col("size2") - F.col("place2"))
     earlier = F.least("place", "place2") - 1
-    possible = (F.lit(PART) * (most + earlier) >= F.lit(OF) * (F.col("size") + F.col("size2") - most - earlier)) & (F.lit(PART) * F.least("size", "size2") >= F.lit(OF) * F.greatest("size", "size2"))
+    possible = (F.lit(PART) * (most + earlier) >= F.lit(threshold) * (F.col("size") + F.col("size2") - most - earlier)) & (F.lit(PART) * F.least("size", "size2") >= F.lit(threshold) * F.greatest("size", "size2"))
     pairs = one.hint("merge").join(other, ["cluster", "s", "_b"]).where((F.col("part") != F.col("part2")) & possible)
     # Pairs are compared in tiles: one block of the cluster with another.
     tiles = F.ceil(F.col("_all") / (BLOCK // 2))
@@ -341,8 +355,8 @@ def _rest(huge: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame | No
     return pairs.select(g.alias("g"), F.explode(F.array("node", "node2")).alias("node")).distinct()
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: a row per row of the input."""
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = OF) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: a row per row of the input. threshold: in hundredths."""
     spark = docs.sparkSession
     short_batches(spark)
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -358,7 +372,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = rows.repartitionByRange(parts, "key", "doc_id").sortWithinPartitions("key", "doc_id")
-    coarse = materialize(order.mapInArrow(_forest, "a long, b long").distinct(), "coarse")
+    coarse = materialize(order.mapInArrow(partial(_forest, of=threshold), "a long, b long").distinct(), "coarse")
     clusters = components(coarse)
     # Exact links within the clusters.
     groups, huge = _dealt(clusters, same.withColumnRenamed("rep", "doc_id"))
@@ -367,11 +381,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     def confirmed(groups: DataFrame) -> DataFrame:
         sent = materialize(groups, "groups").join(named, "node").select("g", "node", "text")
-        return materialize(sent.repartition(parts, "g").sortWithinPartitions("g").mapInArrow(_confirm, "a long, b long").distinct(), "links")
+        return materialize(sent.repartition(parts, "g").sortWithinPartitions("g").mapInArrow(partial(_confirm, of=threshold), "a long, b long").distinct(), "links")
 
     links = confirmed(groups)
     found = components(links)
-    if huge is not None and (rest := _rest(huge, found, named)) is not None:
+    if huge is not None and (rest := _rest(huge, found, named, threshold)) is not None:
         found = components(links.union(confirmed(rest)))
     lasting = same.select("digest", "n_shingles", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.col("n_shingles").alias("_n"), F.least("rep", F.coalesce("component", "rep")).alias("_c"))
     # Only sets that aren't alone are looked up; the rest are their own component.

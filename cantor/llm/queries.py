@@ -54,7 +54,7 @@ def op9_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), threshold=85)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
