@@ -316,28 +316,27 @@ EMISSION_BLOCK = 500
 
 
 def _emissions(spark, d):
-    """Words of short documents with planted emissions: (words, emission, books)."""
-    frags = _fragments(spark, d)
-    few = words.words(frags).where("book_id % 25 = 0 and g < 160").select("book_id", "g", "ord", "norm")
+    """All words of all documents with planted emissions: (words, emission, books)."""
+    every = words.words(_fragments(spark, d)).select("book_id", "g", "ord", "norm")
     model = align.backend("letters")
 
     def planted(key, pdf):
         logits, _ = align.synthetic_emission(list(pdf.sort_values("g")["norm"]), model, seed=int(key[0]), lead=200)
         return pd.DataFrame([(b, k, x, len(logits)) for b, k, x in align.emission_blocks(key[0], logits, EMISSION_BLOCK)], columns=["book_id", "block", "logits", "frames"])
 
-    emission = few.groupBy("book_id").applyInPandas(planted, "book_id long, block long, logits binary, frames long")
+    emission = every.groupBy("book_id").applyInPandas(planted, "book_id long, block long, logits binary, frames long")
     books = emission.groupBy("book_id").agg(F.max("frames").alias("frames")).select("book_id", F.lit(0.02).alias("ratio"), F.array(F.lit(0).cast("long"), "frames").alias("bounds"))
-    return few, emission, books
+    return every, emission, books
 
 
 def chain_align(spark, d):
-    few, emission, books = _emissions(spark, d)
-    return align.anchors(few, emission, books)
+    every, emission, books = _emissions(spark, d)
+    return align.anchors(every, emission, books)
 
 
 def bracket_align(spark, d):
-    few, emission, books = _emissions(spark, d)
-    return align.locate(few, emission, books, EMISSION_BLOCK)
+    every, emission, books = _emissions(spark, d)
+    return align.locate(every, emission, books, EMISSION_BLOCK)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
