@@ -300,14 +300,19 @@ def semi_anti_anchors(spark, d):
     return semi.withColumn("side", F.lit("labelled")).union(anti.withColumn("side", F.lit("bare")))
 
 
-def doc_roundtrip(spark, d):
+def _roundtrip(spark, d):
     docs = _documents(spark, d)
-    return document.parsed(docs.select("doc_id", document.serialized(docs).alias("value"))).select("doc_id", "format", "generator", "book.title", "book.author", "book.language", F.col("alignment").isNull().alias("unaligned"))
+    return document.parsed(docs.select("doc_id", document.serialized(docs).alias("value")))
+
+
+def doc_roundtrip(spark, d):
+    """Whole texts as titles to JSON and back; the first 40 characters of what comes back are shown."""
+    return _roundtrip(spark, d).select("doc_id", "format", "generator", F.substring("book.title", 1, 40).alias("title"), "book.author", "book.language", F.col("alignment").isNull().alias("unaligned"))
 
 
 def _documents(spark, d):
     docs = table(spark, d, "documents")
-    title = F.regexp_extract(F.to_json(F.array(F.substring("text", 1, 40))), "^\\[([\\s\\S]*)\\]$", 1)
+    title = F.regexp_extract(F.to_json(F.array("text")), "^\\[([\\s\\S]*)\\]$", 1)
     raw = F.concat(F.lit(f'{{"format":"{document.FORMAT}","book":{{"title":'), title, F.lit(',"author":null,"language":"'), "lang", F.lit('"}}'))
     return document.parsed(docs.select("doc_id", raw.alias("value")))
 
