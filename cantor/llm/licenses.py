@@ -1,7 +1,8 @@
 """Licence recognition by sentence rules.
 
-Texts are cut into sentences, each is normalised and looked up in a table of known licence sentences; what is left
-is a short sequence of sentence identifiers, which ordered licence rules are matched against. A rule is a list of
+Texts are cut into sentences, each is normalised and looked up in a table of known licence sentences. A known sentence
+may also run over several cuts, as wrapped, indented and commented notices are cut at line ends, and some at ':' and ';'
+within. What is left is a short sequence of sentence identifiers, which ordered licence rules are matched against. A rule is a list of
 identifiers that must come in this order, other known sentences between them allowed. Rules are tried in their
 order; all that match are reported, the first is the document's licence.
 
@@ -64,6 +65,10 @@ WRAP = "\n([a-z])"
 #: A sentence ends at a line's end, or at . ! ? : ; before white space or a double quote.
 END = '[.!?:;]+["\\x20\\x09\\x0B-\\x0D]|[.!?:;]*\\n'
 JUNK = "[^a-z0-9]+"
+#: Each known sentence has one of these.
+HINT = "(?i)licen|permi|copyright|redistrib|warrant|rights|compliance"
+#: Known sentences from cut to cut, any cuts between their words; longer ones are tried first.
+KNOWN = "(?<=\\|)(?:" + "|".join(v.replace(" ", "[ |]") for v in sorted(SENTENCES.values(), key=len, reverse=True)) + ")(?=\\|)"
 
 
 def normalised(sentence: Column) -> Column:
@@ -73,10 +78,13 @@ def normalised(sentence: Column) -> Column:
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_sentences, sentence_ids (in order, comma-joined), license_ids (by rule order), license."""
-    # A word that each known sentence has one of selects sentences cheaply before anything is normalised.
     known = F.create_map(*[x for k, v in SENTENCES.items() for x in (F.lit(v), F.lit(k))])
     cut = docs.select(F.col(key).alias("doc_id"), F.filter(F.split(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), WRAP, " $1"), END), lambda s: F.btrim(s, F.lit(" \t")) != "").alias("_s"))
-    rows = cut.withColumn("_k", F.filter(F.transform("_s", lambda s: F.when(s.rlike("(?i)licen|permi|copyright|redistrib|warrant|rights|compliance"), F.try_element_at(known, normalised(s)))), lambda k: k.isNotNull()))
+    # Only texts with a hint are normalised: as |sentence|sentence|, without those that have no letter or digit.
+    pieces = F.filter(F.transform("_s", normalised), lambda s: s != "")
+    marked = F.when(F.exists("_s", lambda s: s.rlike(HINT)), F.concat(F.lit("|"), F.array_join(pieces, "|"), F.lit("|"))).otherwise("")
+    hit = F.transform(F.regexp_extract_all(marked, F.lit(KNOWN), 0), lambda m: F.try_element_at(known, F.translate(m, "|", " ")))
+    rows = cut.withColumn("_k", hit)
     line = F.concat(F.lit(","), F.array_join("_k", ",,"), F.lit(","))
     found = rows.select("doc_id", F.size("_s").cast("long").alias("n_sentences"), F.array_join("_k", ",").alias("sentence_ids"), line.alias("_line"))
     hits = [F.when(F.col("_line").like("%," + ",%,".join(ids) + ",%"), F.lit(name)) for name, ids in RULES]
