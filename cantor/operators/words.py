@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import ABBREVIATIONS, SPACES, _c, fold, normalize
+from ..functions.text import ABBREVIATIONS, SPACES, _c, fold_tokens, normalize
 
 LEAST_PHRASE = 4
 
@@ -14,25 +14,26 @@ def tokens(text: Column | str) -> Column:
     return F.filter(F.split(_c(text), SPACES), lambda t: t != "")
 
 
-def breaks(toks: Column, language: Column) -> Column:
+def breaks(toks: Column, folded: Column, language: Column) -> Column:
     """Per token: whether a phrase may end after it (the last token is left to the caller)."""
 
-    def after(t: Column) -> Column:
-        core = F.regexp_replace(F.lower(F.when(language == "en", t).otherwise(fold(t))), "[^a-z]", "")
+    def after(t: Column, f: Column) -> Column:
+        core = F.regexp_replace(F.lower(f), "[^a-z]", "")
         known = F.when(language == "fr", core.isin(*ABBREVIATIONS["fr"])).otherwise(core.isin(*ABBREVIATIONS["en"]))
         last = F.substring(t, -1, 1)
         return F.when(last.isin(",", ":", "—"), True).when(last.isin(".", "?", "!", ";"), ~(known | (F.length(core) <= 1))).otherwise(False)
 
-    return F.transform(toks, after)
+    return F.zip_with(toks, folded, after)
 
 
 def with_phrases(fragments: DataFrame, language: Column | str = "language", text: str = "text") -> DataFrame:
-    """Adds tokens, and starts: the token index at which each phrase begins.
+    """Adds tokens, folded, and starts: the token index at which each phrase begins.
 
     Fragments between breaks of fewer than LEAST_PHRASE tokens join the phrase before; a short first phrase joins the second.
     """
     n = F.size("tokens")
-    cut = fragments.withColumn("tokens", tokens(text)).withColumn("_b", breaks(F.col("tokens"), _c(language)))
+    cut = fragments.withColumn("tokens", tokens(text)).withColumn("folded", fold_tokens(F.col("tokens"), language))
+    cut = cut.withColumn("_b", breaks(F.col("tokens"), F.col("folded"), _c(language)))
     ends = F.filter(F.transform("_b", lambda b, i: F.when(b | (i == n - 1), i)), lambda i: i.isNotNull())
     cut = cut.withColumn("_e", ends)
     begin = F.transform("_e", lambda e, j: F.struct(F.when(j == 0, 0).otherwise(F.get(F.col("_e"), j - 1) + 1).alias("at"), e.alias("end")))
@@ -57,8 +58,8 @@ def fragment_words(fragments: DataFrame, language: Column | str = "language") ->
     rows = with_phrases(fragments, language)
     ends = lambda i: F.coalesce(F.get(F.col("starts"), i + 1), F.size("tokens"))
     phrase = F.flatten(F.transform("starts", lambda s, i: F.array_repeat(i, ends(i) - s)))
-    every = F.zip_with("tokens", phrase, lambda t, p: F.struct(p.alias("phrase"), normalize(t, _c(language)).alias("norm")))
-    return rows.withColumn("words", F.filter(every, lambda w: w["norm"] != "")).drop("tokens", "starts")
+    every = F.zip_with("folded", phrase, lambda f, p: F.struct(p.alias("phrase"), normalize(f).alias("norm")))
+    return rows.withColumn("words", F.filter(every, lambda w: w["norm"] != "")).drop("tokens", "folded", "starts")
 
 
 def words(fragments: DataFrame, language: Column | str = "language") -> DataFrame:

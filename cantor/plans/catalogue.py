@@ -119,7 +119,7 @@ def languages(spark, d):
 
 
 def folded(spark, d):
-    return table(spark, d, "documents").select("doc_id", X.fold("text").alias("text"))
+    return table(spark, d, "documents").select("doc_id", X.fold_whole("text").alias("text"))
 
 
 def words_normalized(spark, d):
