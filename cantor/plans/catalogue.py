@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import html as H
@@ -318,30 +318,72 @@ def _documents(spark, d):
 
 
 EMISSION_BLOCK = 500
+#: Planted sound: a frame of each letter and a blank after it, SPACED blanks after a word, QUIET at both ends, RATIO seconds a frame.
+SPACED, QUIET, RATIO = 2, 200, 0.03
+MARK = f"{QUIET} + 2 * _letters + {SPACED} * g"
 
 
-def _emissions(spark, d):
-    """All words of all documents with planted emissions: (words, emission, books)."""
-    every = words.words(_fragments(spark, d)).select("book_id", "g", "ord", "norm")
-    model = align.backend("letters")
+def _said(words_of):
+    """Planted sound of some words: no noise, and a little less sure from frame to frame, so that of equal places the first is best."""
+    return align.synthetic_emission(words_of, align.backend("letters"), frames_per_letter=2, gap=SPACED, noise=0, lead=QUIET, trail=QUIET, peaks=(10, 8))
+
+
+def _talks(spark, d):
+    """Conversations as books, turns as paragraphs: their words, with the first and end frame of each as planted."""
+    turns = table(spark, d, "conversations").select(F.col("conv_id").alias("book_id"), F.col("turn").alias("ord"), F.coalesce("text", F.lit("")).alias("text"), F.lit("en").alias("language"))
+    rows = words.words(turns)
+    before = Window.partitionBy("book_id").orderBy("g").rowsBetween(Window.unboundedPreceding, -1)
+    letters = F.coalesce(F.sum(F.length("norm")).over(before), F.lit(0))
+    return rows.withColumn("_letters", letters).select("book_id", "g", "ord", "norm", F.expr(MARK).alias("bf"), F.expr(f"{MARK} + 2 * length(norm) - 1").alias("ef"))
+
+
+def _recorded(spark, d):
+    """Whole conversations with planted emissions, a section for each turn: (words, emission, books)."""
+    every = _talks(spark, d)
 
     def planted(key, pdf):
-        logits, _ = align.synthetic_emission(list(pdf.sort_values("g")["norm"]), model, seed=int(key[0]), lead=200)
-        return pd.DataFrame([(b, k, x, len(logits)) for b, k, x in align.emission_blocks(key[0], logits, EMISSION_BLOCK)], columns=["book_id", "block", "logits", "frames"])
+        logits, _ = _said(list(pdf.sort_values("g")["norm"]))
+        return pd.DataFrame(list(align.emission_blocks(key[0], logits, EMISSION_BLOCK)), columns=["book_id", "block", "logits"])
+
+    emission = every.select("book_id", "g", "norm").groupBy("book_id").applyInPandas(planted, "book_id long, block long, logits binary")
+    turns = every.groupBy("book_id", "ord").agg(F.min("bf").alias("bf"), F.max("ef").alias("ef"))
+    books = turns.groupBy("book_id").agg(F.array_sort(F.collect_list("bf")).alias("_b"), (F.max("ef") + 1 + SPACED + QUIET).alias("_n"))
+    bounds = F.concat(F.array(F.lit(0).cast("long")), F.slice("_b", F.lit(2), F.size("_b")), F.array("_n"))
+    return every, emission, books.select("book_id", F.lit(RATIO).alias("ratio"), bounds.alias("bounds"))
+
+
+def ctc_align(spark, d):
+    """Each paragraph of all documents aligned with planted sound of its own: (first word, end) frames of its words."""
+    rows = words.fragment_words(_fragments(spark, d)).select("book_id", "ord", F.transform("words", lambda w: w["norm"]).alias("said"))
+
+    def run(frames):
+        model = align.backend("letters")
+        for pdf in frames:
+            out = []
+            for book, ord_, said in zip(pdf["book_id"], pdf["ord"], pdf["said"], strict=True):
+                if len(said):
+                    logits, _ = _said(list(said))
+                    [placed] = align.align_windows(logits, [(0, len(logits), list(said))], model)
+                    out += [(book, ord_, p.g, p.begin, p.end) for p in placed]
+            yield pd.DataFrame(out, columns=["book_id", "ord", "k", "bf", "ef"])
 
-    emission = every.groupBy("book_id").applyInPandas(planted, "book_id long, block long, logits binary, frames long")
-    books = emission.groupBy("book_id").agg(F.max("frames").alias("frames")).select("book_id", F.lit(0.02).alias("ratio"), F.array(F.lit(0).cast("long"), "frames").alias("bounds"))
-    return every, emission, books
+    return rows.mapInPandas(run, "book_id long, ord int, k long, bf long, ef long")
 
 
 def chain_align(spark, d):
-    every, emission, books = _emissions(spark, d)
+    """Anchors of whole conversations."""
+    every, emission, books = _recorded(spark, d)
     return align.anchors(every, emission, books)
 
 
 def bracket_align(spark, d):
-    every, emission, books = _emissions(spark, d)
-    return align.locate(every, emission, books, EMISSION_BLOCK)
+    """All words of whole conversations, aligned between anchors that are planted at each chunk's first word and at the last word."""
+    every, emission, books = _recorded(spark, d)
+    about = align.sized(every, books)
+    marks = every.join(about, "book_id").where("g % chunk = 0 or g = n_words - 1").select("book_id", "g", "bf")
+    seq = (F.row_number().over(Window.partitionBy("book_id").orderBy("g")) - 1).alias("seq")
+    found = marks.select("book_id", seq, F.col("g").alias("w0"), F.col("bf").alias("f0"))
+    return align.fine_align(align.brackets(found, about), every, emission, EMISSION_BLOCK).select("book_id", "g", "bf", "ef")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -350,6 +392,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         paragraphs_txt, anchored_fragments, paragraphs_html, anchored_html, html_blocks, named_entities, headings, slugs, hrefs_same_page, listen_urls, languages, folded,
         words_normalized, phrase_cut, phrase_counts, phrase_rows, flat_rows, word_archive, upper_median, span_coverage, apparatus, inversions, confidence, lead_tail, measures,
         verdict, refusal, section_timeline, asof_section, asof_events, frame_section_range, overlay_pars, overlay_summary, overlay_smil, clock_text, text_fingerprint, minted_ids,
-        sectioning, section_anchors, lock_scores, chunk_sizes, semi_anti_anchors, doc_roundtrip, chain_align, bracket_align,
+        sectioning, section_anchors, lock_scores, chunk_sizes, semi_anti_anchors, doc_roundtrip, ctc_align, chain_align, bracket_align,
     )
 }

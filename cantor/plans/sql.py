@@ -57,12 +57,15 @@ _CTE = {
     "located": "located AS (SELECT b.*, coalesce(l.position, f.position) AS section, coalesce(l.start, f.start) AS section_start FROM begins b ASOF LEFT JOIN line l ON b.book_id = l.book_id AND b.whole_begin >= l.start JOIN (SELECT book_id, position, start FROM line WHERE position = 1) f ON f.book_id = b.book_id)",
     "kept": "kept AS (SELECT *, whole_begin - section_start AS \"begin\" FROM located SEMI JOIN (SELECT book_id, anchor_id FROM frags WHERE (book_id + ord) % 11 > 0) USING (book_id, anchor_id))",
     "pars": 'pars AS (SELECT book_id, row_number() OVER (PARTITION BY book_id ORDER BY whole_begin, anchor_id) AS par, anchor_id, section, whole_begin, "begin", lead("begin") OVER (PARTITION BY book_id, section ORDER BY whole_begin, anchor_id) AS clip_end FROM kept)',
+    "said": """said AS (SELECT book_id, ord, k, raw, norm, row_number() OVER (PARTITION BY book_id ORDER BY ord, k) - 1 AS g FROM
+  (SELECT *, regexp_replace(lower(raw), '[^a-z'']', '', 'g') AS norm FROM (SELECT book_id, ord, unnest(t) AS raw, generate_subscripts(t, 1) AS k FROM (SELECT conv_id AS book_id, turn AS ord, list_filter(regexp_split_to_array(coalesce(text, ''), '\\s+'), lambda x: x <> '') AS t FROM conversations))) WHERE norm <> '')""",
+    "spoken": """spoken AS (SELECT *, 200 + coalesce(sum(2 * length(norm) + 2) OVER (PARTITION BY book_id ORDER BY g ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS bf, count(*) OVER (PARTITION BY book_id) AS n FROM said)""",
     "cutlines": "cutlines AS (SELECT *, sum(h::INT) OVER (PARTITION BY book_id ORDER BY block) + CASE WHEN first(h) OVER (PARTITION BY book_id ORDER BY block) THEN 0 ELSE 1 END AS s FROM (SELECT book_id, ord - 1 AS block, text, len(string_split(text, ' ')) <= 3 AS h FROM lines))",
     "sectioned": "sectioned AS (SELECT book_id, block, text, h, title, dense_rank() OVER (PARTITION BY book_id ORDER BY s) AS section FROM (SELECT *, max(CASE WHEN h THEN text END) OVER (PARTITION BY book_id, s) AS title FROM cutlines) WHERE title IS NULL OR NOT regexp_matches(title, '(?i)^(contents|table of contents|transcriber|illustrations)'))",
 }
 _NEEDS = {
     "frags": ("lines",), "tok": ("frags",), "cut": ("tok",), "merged": ("cut",), "phrased": ("merged",), "words": ("phrased",), "aligned": ("words",), "prows": ("aligned",), "marked": ("frags", "prows"), "covered": ("marked",),
-    "sized": ("words",), "ended": ("sized", "prows", "aligned"), "measured": ("covered", "ended", "prows"), "begins": ("prows",), "located": ("begins", "line"), "kept": ("located", "frags"), "pars": ("kept",), "cutlines": ("lines",), "sectioned": ("cutlines",),
+    "sized": ("words",), "ended": ("sized", "prows", "aligned"), "measured": ("covered", "ended", "prows"), "begins": ("prows",), "located": ("begins", "line"), "kept": ("located", "frags"), "pars": ("kept",), "spoken": ("said",), "cutlines": ("lines",), "sectioned": ("cutlines",),
 }
 
 
@@ -149,6 +152,9 @@ LEFT JOIN (SELECT book_id, string_agg(reader, ',' ORDER BY p) AS readers FROM (S
     "sectioning": _with("SELECT book_id, section, title AS section_title, count(*) AS blocks, min(block) AS first_block FROM sectioned GROUP BY ALL", "sectioned"),
     "chunk_sizes": _with("SELECT book_id, count(*) AS n_words, greatest(12, least(45, count(*) // 6)) AS chunk FROM words GROUP BY book_id", "words"),
     "lock_scores": _with("SELECT book_id, chunk, floor(avg(score) / 100 * CASE WHEN gap BETWEEN 0.12 AND 0.6 THEN 1 WHEN gap BETWEEN 0.08 AND 0.9 THEN 0.5 ELSE 0.15 END * 1e6 + 0.5)::BIGINT AS lock_micro FROM (SELECT book_id, chunk, score, CASE WHEN count(gap) OVER w = 0 THEN 0.3 ELSE list_sort(list(gap) FILTER (gap IS NOT NULL) OVER w)[count(gap) OVER w // 2 + 1] END AS gap FROM (SELECT book_id, g // 45 AS chunk, score, (lead(bf) OVER (PARTITION BY book_id, g // 45 ORDER BY g) - bf) / 100 AS gap FROM aligned) WINDOW w AS (PARTITION BY book_id, chunk)) GROUP BY book_id, chunk, gap", "aligned"),
+    "ctc_align": _with("SELECT book_id, ord, k, bf, bf + 2 * length(norm) - 1 AS ef FROM (SELECT *, row_number() OVER w - 1 AS k, 200 + coalesce(sum(2 * length(norm) + 2) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS bf FROM words WINDOW w AS (PARTITION BY book_id, ord ORDER BY g))", "words"),
+    "chain_align": _with("SELECT book_id, (g // chunk)::INT AS seq, g AS w0, bf AS f0 FROM (SELECT *, greatest(12, least(45, n // 6)) AS chunk FROM spoken) WHERE g % chunk = 0 AND least(chunk, n - g) >= greatest(8, chunk // 2)", "spoken"),
+    "bracket_align": _with("SELECT book_id, g, bf, bf + 2 * length(norm) - 1 AS ef FROM spoken WHERE n >= 2", "spoken"),
     "semi_anti_anchors": "SELECT doc_id, 'labelled' AS side FROM documents d WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) UNION ALL SELECT doc_id, 'bare' FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
     "doc_roundtrip": "SELECT doc_id, 'read-along/1' AS format, 'cantor/0.1.0' AS generator, left(text, 40) AS title, NULL::VARCHAR AS author, lang AS language, true AS unaligned FROM documents",
 }
