@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 PICTURES = frozenset("img svg figure figcaption".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 WRAPPERS = frozenset(("pg-header", "pg-footer"))
 #: An open paragraph ends where one of these begins.
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
@@ -140,6 +141,22 @@ def anchored(html: str) -> str:
     return inner if any(n.tag == "section" and "id" in n.attrs for n in root.walk()) else f'<section id="text">\n{inner}\n</section>'
 
 
+def contents(html: str) -> list[tuple[str, str]]:
+    """(id, heading) of the body's top-level sections that have both."""
+    found = []
+    for node in body_of(parse(html)).children:
+        if node.tag == "section" and node.attrs.get("id"):
+            heading = next((n for n in node.walk() if n.tag in HEADINGS), None)
+            if heading is not None and (title := heading.content().strip()):
+                found.append((node.attrs["id"], title))
+    return found
+
+
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("id", T.StringType()), T.StructField("title", T.StringType())])))
+def contents_udf(html: pd.Series) -> pd.Series:
+    return html.map(lambda h: [{"id": a, "title": b} for a, b in contents(h)] if h else [])
+
+
 @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("html", T.StringType()), T.StructField("text", T.StringType())])))
 def blocks_udf(html: pd.Series) -> pd.Series:
     return html.map(lambda h: [{"html": a, "text": b} for a, b in html_blocks(h)] if h else [])

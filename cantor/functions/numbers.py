@@ -5,24 +5,36 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .text import _c
 
 
-def rounded(places: int):
-    """round() of the binary number, ties to even: a UDF, as the engine's own rounds the decimal text half up.
+def round_binary(x: float | None, places: int) -> float | None:
+    """round() of the binary number, ties to even; null, NaN and infinities stay."""
+    return x if x is None or math.isnan(x) or math.isinf(x) else round(float(x), places)
 
-    Meant for rows per book; verdicts read these numbers, and a tie must not turn one.
+
+def rounded_all(**columns: tuple[Column, int]) -> Column:
+    """A struct of the columns, each rounded to its places by round_binary, in one UDF over all of them.
+
+    The engine's own round goes by the decimal text, half up; verdicts read these numbers, and a tie must not turn one.
+    Meant for rows per book.
     """
+    places = {c: n for c, (_, n) in columns.items()}
+
+    @F.pandas_udf(T.StructType([T.StructField(c, T.DoubleType()) for c in places]))
+    def run(x: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({c: [round_binary(v, n) for v in x[c]] for c, n in places.items()}, dtype="float64")
+
+    return run(F.struct(*[v.cast("double").alias(c) for c, (v, _) in columns.items()]))
 
-    @F.pandas_udf(T.DoubleType())
-    def run(x: pd.Series) -> pd.Series:
-        return x.map(lambda v: v if v is None or math.isnan(v) or math.isinf(v) else round(float(v), places))
 
-    return run
+def rounded(x: Column, places: int) -> Column:
+    """One column rounded by round_binary."""
+    return rounded_all(x=(x, places))["x"]
 
 
 def half_up(x: Column, scale: int = 1) -> Column:
@@ -62,6 +74,23 @@ def plausibility(gap: Column) -> Column:
     return F.when((gap >= 0.12) & (gap <= 0.6), 1.0).when((gap >= 0.08) & (gap <= 0.9), 0.5).otherwise(0.15)
 
 
+def upper_medians(rows: DataFrame, key: str, value: str, buckets: int = 1024) -> DataFrame:
+    """key, median: sorted[n // 2] of each key's values without gathering them; a hot key's rows are never in one task.
+
+    Equal values are counted first. Counts per range of values (a key's span in equal parts) tell which range holds the rank;
+    only that range is ordered.
+    """
+    counted = rows.where(F.col(value).isNotNull()).groupBy(key, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_n"))
+    span = counted.groupBy(key).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.floor(F.sum("_n") / 2).alias("_rank"))
+    place = F.when(F.col("_high") > F.col("_low"), F.floor((F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low")) * buckets)).otherwise(F.lit(0).cast("long"))
+    placed = counted.join(span, key).withColumn("_b", place)
+    upto = Window.partitionBy(key).orderBy("_b")
+    ranges = placed.groupBy(key, "_b", "_rank").agg(F.sum("_n").alias("_in")).withColumn("_upto", F.sum("_in").over(upto))
+    hit = ranges.where("_rank < _upto and _rank >= _upto - _in").select(key, "_b", (F.col("_upto") - F.col("_in")).alias("_before"))
+    within = placed.join(hit, [key, "_b"]).withColumn("_c", F.col("_before") + F.sum("_n").over(Window.partitionBy(key, "_b").orderBy("_v")))
+    return within.where("_rank < _c and _rank >= _c - _n").select(key, F.col("_v").alias("median"))
+
+
 def upper_median(values: Column) -> Column:
     """sorted[n // 2] of an array; 0 where it is empty."""
     return F.coalesce(F.get(F.array_sort(values), F.floor(F.size(values) / 2).cast("int")).cast("double"), F.lit(0.0))

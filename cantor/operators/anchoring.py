@@ -79,9 +79,18 @@ def base_slug(title: Column | str, section: Column | str) -> Column:
 
 
 def mint_ids(bases: Column | str) -> Column:
-    """Ids for an array of bases: the base, or the first of base-2, base-3, ... that isn't taken by an earlier id."""
-    free = lambda ids, base: F.element_at(F.filter(F.transform(F.sequence(F.lit(1), F.size(ids) + 1), lambda n: F.when(n == 1, base).otherwise(F.concat(base, F.lit("-"), n))), lambda c: ~F.array_contains(ids, c)), 1)
-    return F.aggregate(_c(bases), F.array().cast("array<string>"), lambda ids, base: F.concat(ids, F.array(free(ids, base))))
+    """Ids for an array of bases: the base, or the first of base-2, base-3, ... that isn't taken by an earlier id.
+
+    A fold over a book's sections (tens to hundreds). Only a base that is taken looks for a number, from the count of
+    ids that begin like it on: fewer can't all be taken.
+    """
+
+    def named(ids: Column, base: Column) -> Column:
+        like = F.size(F.filter(ids, lambda i: F.startswith(i, F.concat(base, F.lit("-")))))
+        numbered = F.transform(F.sequence(F.lit(2), like + 2), lambda n: F.concat(base, F.lit("-"), n))
+        return F.when(F.array_contains(ids, base), F.get(F.array_except(numbered, ids), F.lit(0))).otherwise(base)
+
+    return F.aggregate(_c(bases), F.array().cast("array<string>"), lambda ids, base: F.concat(ids, F.array(named(ids, base))))
 
 
 def section_ids(sectioned: DataFrame) -> DataFrame:

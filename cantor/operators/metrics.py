@@ -1,45 +1,67 @@
 """A row of measures per book, from its fragments and the phrases and words placed.
 
-Everything is grouped or windowed by book: one exchange on book_id serves them all.
+Everything is grouped or windowed by book, so that rows of books that were dealt by book_id once are never shuffled again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numbers import plausibility, rounded, upper_median
+from ..functions.numbers import plausibility, rounded_all, upper_median
+from ..functions.text import _c
 
 MAX_DISCOUNT = 300.0
 INVERSION = 1.0
 # Ids of the parts a narrator may leave unread.
 APPARATUS = (
-    "endnote endnotes footnote footnotes appendix appendices glossary notes note translator-note translators-note translators-preface translator-preface "
-    "prefatory-note editors-note editor-note preface introduction foreword afterword dedication epigraph dramatis-personae bibliography index advertisement "
-    "colophon loi halftitle halftitlepage titlepage imprint copyright"
-).split()
+    "endnote", "endnotes", "footnote", "footnotes", "appendix", "appendices", "glossary", "notes", "note", "translator-note", "translators-note", "translators-preface",
+    "translator-preface", "prefatory-note", "editors-note", "editor-note", "preface", "introduction", "foreword", "afterword", "dedication", "epigraph", "dramatis-personae",
+    "bibliography", "index", "advertisement", "colophon", "loi", "halftitle", "halftitlepage", "titlepage", "imprint", "copyright",
+)
 APPARATUS_ID = f"^({'|'.join(APPARATUS)})(-|$)"
 
 
-def marked(fragments: DataFrame, phrase_rows: DataFrame) -> DataFrame:
-    """Fragments of two words or more, with placed, apparatus and idx (from 0), and body idx where they are body.
+def is_real(text: Column | str) -> Column:
+    """Whether a paragraph counts: two words or more."""
+    return F.size(F.filter(F.split(_c(text), "\\s+"), lambda t: t != "")) >= 2
 
-    Where body paragraphs are less than half of a book's, all of its paragraphs are body.
+
+def paragraphs(phrases: DataFrame, keep: tuple[str, ...] = ("real",)) -> DataFrame:
+    """book_id, ord, anchor_id, placed, begin_secs, end_secs, section, confs, turned, n_words, and the columns named in keep.
+
+    phrases: book_id, ord, anchor_id, real, phrase_index, begin_secs, end_secs, section, confidence, n_words; a paragraph without a phrase
+    has one row with nulls. The section is that of the paragraph's earliest phrase. turned: phrases that begin more than INVERSION before
+    the phrase before them in document order.
+    """
+    before = Window.partitionBy("book_id").orderBy("ord", "phrase_index").rowsBetween(Window.unboundedPreceding, -1)
+    late = F.col("begin_secs") < F.last("begin_secs", ignorenulls=True).over(before) - INVERSION
+    return phrases.withColumn("_late", late).groupBy("book_id", "ord", "anchor_id", *keep).agg(
+        (F.count("begin_secs") > 0).alias("placed"),
+        F.min("begin_secs").alias("begin_secs"),
+        F.max("end_secs").alias("end_secs"),
+        F.min_by("section", F.when(F.col("begin_secs").isNotNull(), F.struct("begin_secs", "phrase_index"))).alias("section"),
+        F.collect_list("confidence").alias("confs"),
+        F.count_if("_late").alias("turned"),
+        F.sum("n_words").alias("n_words"),
+    )
+
+
+def marked(paras: DataFrame) -> DataFrame:
+    """Real paragraphs with idx (from 0), body, and body_idx where they are body.
+
+    Body is what isn't apparatus by its id. Where that is less than half of a book's paragraphs, all of them are body.
     """
-    real = fragments.where(F.size(F.filter(F.split("text", "\\s+"), lambda t: t != "")) >= 2)
-    placed = phrase_rows.select("book_id", "anchor_id").distinct().withColumn("_p", F.lit(True))
-    rows = real.join(placed, ["book_id", "anchor_id"], "left").withColumn("placed", F.coalesce("_p", F.lit(False))).drop("_p")
     book, order = Window.partitionBy("book_id"), Window.partitionBy("book_id").orderBy("ord")
-    rows = rows.withColumn("_a", F.col("anchor_id").rlike(APPARATUS_ID)).withColumn("idx", F.row_number().over(order) - 1)
+    rows = paras.where("real").withColumn("_a", F.col("anchor_id").rlike(APPARATUS_ID)).withColumn("idx", F.row_number().over(order) - 1)
     rows = rows.withColumn("body", ~F.col("_a") | (F.sum(F.when(~F.col("_a"), 1).otherwise(0)).over(book) * 2 < F.count("*").over(book)))
     return rows.withColumn("body_idx", F.when(F.col("body"), F.sum(F.col("body").cast("int")).over(order) - 1)).drop("_a")
 
 
-def coverage(rows: DataFrame) -> DataFrame:
-    """book_id, paras, placed, first_idx, last_idx, body_paras, first_body, last_body."""
+def _covered() -> list[Column]:
     at = lambda f, c, when: f(F.when(when, F.col(c)))
     both = F.col("placed") & F.col("body")
-    return rows.groupBy("book_id").agg(
+    return [
         F.count("*").alias("paras"),
         F.count_if("placed").alias("placed"),
         at(F.min, "idx", F.col("placed")).alias("first_idx"),
@@ -47,7 +69,12 @@ def coverage(rows: DataFrame) -> DataFrame:
         F.count_if("body").alias("body_paras"),
         at(F.min, "body_idx", both).alias("first_body"),
         at(F.max, "body_idx", both).alias("last_body"),
-    )
+    ]
+
+
+def coverage(rows: DataFrame) -> DataFrame:
+    """book_id, paras, placed, first_idx, last_idx, body_paras, first_body, last_body of marked paragraphs."""
+    return rows.groupBy("book_id").agg(*_covered())
 
 
 def inversions(rows: DataFrame, begin: str = "begin_secs", least: float = INVERSION) -> DataFrame:
@@ -61,45 +88,63 @@ def confidence(rows: DataFrame, value: str = "confidence") -> DataFrame:
     return rows.groupBy("book_id").agg(F.count("*").alias("phrases"), upper_median(F.collect_list(value)).alias("median_conf"))
 
 
-def ends(placed_rows: DataFrame, word_ends: DataFrame, starts: DataFrame) -> DataFrame:
-    """book_id, lead_s, tail_s.
+def _ends() -> list[Column]:
+    first = F.min_by(F.struct("begin_secs", "section"), F.when(F.col("placed"), F.col("ord")))
+    last = F.max_by("end_secs", F.when(F.col("placed"), F.col("ord")))
+    return [first.alias("_first"), last.alias("_last")]
+
+
+def _told(joined: DataFrame) -> DataFrame:
+    """Adds lead_s and tail_s to books with _first, _last, audio_s and starts, an array of (section, start)."""
+    start = F.coalesce(F.get(F.filter("starts", lambda s: s["section"] == F.col("_first.section")), F.lit(0))["start"], F.lit(0.0))
+    skipped = F.when(start > MAX_DISCOUNT, 0.0).otherwise(start)
+    lead = F.when(F.col("_first.begin_secs").isNull(), F.col("audio_s")).otherwise(F.greatest(F.lit(0.0), F.col("_first.begin_secs") - skipped))
+    tail = F.when(F.col("_last").isNull(), F.col("audio_s")).otherwise(F.greatest(F.lit(0.0), F.col("audio_s") - F.col("_last")))
+    return joined.withColumns({"lead_s": lead, "tail_s": tail}).drop("_first", "_last", "starts")
+
+
+def _recorded(starts: DataFrame | None) -> list[Column]:
+    return [] if starts is not None else [F.first("audio_s").alias("audio_s"), F.first("starts").alias("starts")]
+
+
+def ends(paras: DataFrame, starts: DataFrame | None = None) -> DataFrame:
+    """book_id, lead_s, tail_s, audio_s, from all paragraphs.
+
+    starts: a row per book with audio_s and starts, an array of (section, start); None where the paragraphs bear these columns.
 
-    placed_rows: book_id, ord, begin_secs, section; word_ends: book_id, ord, end_secs; starts: book_id, section, start, audio_s.
     The lead is measured from the start of the section of the first placed paragraph's earliest phrase, unless what
     lies before it is longer than MAX_DISCOUNT; the tail from the last word's end of the last placed paragraph.
     """
-    per = placed_rows.groupBy("book_id", "ord").agg(F.min("begin_secs").alias("begin"), F.min_by("section", F.struct("begin_secs", "phrase_index")).alias("section"))
-    first = per.groupBy("book_id").agg(F.min_by(F.struct("begin", "section"), "ord").alias("f"), F.max("ord").alias("last_ord"))
-    last = word_ends.groupBy("book_id", "ord").agg(F.max("end_secs").alias("end"))
-    audio = starts.groupBy("book_id").agg(F.max("audio_s").alias("audio_s"))
-    joined = audio.join(first, "book_id", "left").join(last, (audio["book_id"] == last["book_id"]) & (F.col("last_ord") == last["ord"]), "left").drop(last["book_id"])
-    opened = joined.join(starts.select(F.col("book_id").alias("_k"), F.col("section").alias("_s"), "start"), (F.col("book_id") == F.col("_k")) & (F.col("f.section") == F.col("_s")), "left")
-    skipped = F.when(F.coalesce("start", F.lit(0.0)) > MAX_DISCOUNT, 0.0).otherwise(F.coalesce("start", F.lit(0.0)))
-    lead = F.when(F.col("f").isNull(), F.col("audio_s")).otherwise(F.greatest(F.lit(0.0), F.col("f.begin") - skipped))
-    tail = F.when(F.col("f").isNull() | F.col("end").isNull(), F.col("audio_s")).otherwise(F.greatest(F.lit(0.0), F.col("audio_s") - F.col("end")))
-    return opened.select("book_id", lead.alias("lead_s"), tail.alias("tail_s"), "audio_s")
-
-
-def measures(covered: DataFrame, confident: DataFrame, turned: DataFrame, ended: DataFrame) -> DataFrame:
-    """The metrics row a verdict reads, rounded as promised. Books without a placed paragraph get null gaps."""
-    joined = covered.join(confident, "book_id", "left").join(turned, "book_id", "left").join(ended, "book_id", "left")
+    grouped = paras.groupBy("book_id").agg(*_ends(), *_recorded(starts))
+    return _told(grouped if starts is None else starts.join(grouped, "book_id", "left")).select("book_id", "lead_s", "tail_s", "audio_s")
+
+
+def measures(rows: DataFrame, starts: DataFrame | None = None) -> DataFrame:
+    """The metrics row a verdict reads, rounded as promised, from marked paragraphs in one grouping by book. starts: as for ends().
+
+    Books without a placed paragraph get null gaps, a lead and a tail as long as the recording, and no confidence.
+    """
+    confs = F.flatten(F.collect_list("confs"))
+    grouped = rows.groupBy("book_id").agg(*_covered(), *_ends(), F.size(confs).alias("phrases"), upper_median(confs).alias("median_conf"), F.sum("turned").alias("inversions"), *_recorded(starts))
+    joined = _told(grouped if starts is None else grouped.join(starts, "book_id"))
     span = F.coalesce(F.try_divide(F.col("placed").cast("double"), F.col("last_idx") - F.col("first_idx") + 1), F.lit(0.0))
     start = F.try_divide(F.col("first_body").cast("double"), F.col("body_paras"))
     end = F.try_divide((F.col("body_paras") - 1 - F.col("last_body")).cast("double"), F.col("body_paras"))
-    return joined.select(
+    numbers = rounded_all(start=(start, 3), end=(end, 3), span=(span, 3), lead=(F.col("lead_s"), 1), tail=(F.col("tail_s"), 1), audio=(F.col("audio_s"), 0))
+    return joined.withColumn("_n", numbers).select(
         "book_id",
         F.col("paras").cast("int").alias("paras"),
         F.col("placed").cast("int").alias("placed"),
-        rounded(3)(start).alias("start_gap"),
-        rounded(3)(end).alias("end_gap"),
+        F.col("_n.start").alias("start_gap"),
+        F.col("_n.end").alias("end_gap"),
         F.lit(True).alias("has_ends"),
-        rounded(3)(span).alias("span_coverage"),
-        rounded(1)(F.coalesce(F.col("lead_s").cast("double"), F.lit(0.0))).alias("lead_s"),
-        rounded(1)(F.coalesce(F.col("tail_s").cast("double"), F.lit(0.0))).alias("tail_s"),
-        F.coalesce("phrases", F.lit(0)).cast("int").alias("phrases"),
+        F.col("_n.span").alias("span_coverage"),
+        F.coalesce("_n.lead", F.lit(0.0)).alias("lead_s"),
+        F.coalesce("_n.tail", F.lit(0.0)).alias("tail_s"),
+        F.col("phrases").cast("int").alias("phrases"),
         F.coalesce("median_conf", F.lit(0.0)).alias("median_conf"),
-        F.coalesce("inversions", F.lit(0)).cast("int").alias("inversions"),
-        rounded(0)(F.col("audio_s").cast("double")).cast("int").alias("audio_s"),
+        F.col("inversions").cast("int").alias("inversions"),
+        F.col("_n.audio").cast("int").alias("audio_s"),
     )
 
 

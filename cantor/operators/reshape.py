@@ -13,9 +13,13 @@ def named_words(aligned: DataFrame, words: DataFrame, fragments: DataFrame) -> D
     return aligned.join(words, ["book_id", "g"]).join(fragments.select("book_id", "ord", "anchor_id"), ["book_id", "ord"])
 
 
-def phrase_rows(named: DataFrame, score: str = "score") -> DataFrame:
-    """book_id, ord, anchor_id, phrase_index, bf, conf: begin is the first word's in word order, not the smallest."""
-    return named.groupBy("book_id", "ord", "anchor_id", F.col("phrase").alias("phrase_index")).agg(F.min_by("bf", "g").alias("bf"), F.avg(score).alias("conf"))
+def phrase_rows(named: DataFrame, score: str = "score", keep: tuple[str, ...] = ()) -> DataFrame:
+    """book_id, ord, anchor_id, phrase_index, bf, ef, conf, n_words, and the columns named in keep, which a paragraph's rows share.
+
+    Begin is the first word's in word order, not the smallest. A paragraph whose rows have a null bf keeps one row without a phrase.
+    """
+    phrase = F.when(F.col("bf").isNotNull(), F.col("phrase")).alias("phrase_index")
+    return named.groupBy("book_id", "ord", "anchor_id", *keep, phrase).agg(F.min_by("bf", "g").alias("bf"), F.max("ef").alias("ef"), F.avg(score).alias("conf"), F.count("g").alias("n_words"))
 
 
 def word_archive(named: DataFrame) -> DataFrame:

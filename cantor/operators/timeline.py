@@ -38,17 +38,26 @@ def section_at(rows: DataFrame, started: DataFrame, time: Column | str, how: str
     return found.withColumn("_m", match).withColumn("section", F.col("_m")["position"]).withColumn("section_start", F.col("_m")["start"]).drop("_m", "_sections")
 
 
-def as_of(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, value: str) -> DataFrame:
-    """Backward as-of match for right sides too large for arrays: a union, sorted, and the last value carried on.
+def as_of(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, value: str, bucket: int) -> DataFrame:
+    """Backward as-of match for right sides too large for arrays. Adds value and right_time to the rows of left; null where
+    nothing is at or before. Times are whole numbers; ties match; of equal right times the largest value counts.
 
-    Adds value and right_time to the rows of left; null where nothing is at or before. Ties match.
+    Times are cut into buckets of `bucket`. Within a bucket both sides are sorted together and the last right value is carried on; what a
+    bucket begins with comes from a row per key and bucket. So a hot key is dealt over its buckets.
     """
-    a = left.select(F.col(key).alias("_k"), F.col(left_time).alias("_t"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_row"), F.lit(None).cast(right.schema[value].dataType).alias("_v"), F.lit(None).cast(right.schema[right_time].dataType).alias("_rt"))
-    b = right.select(F.col(key).alias("_k"), F.col(right_time).alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast(a.schema["_row"].dataType).alias("_row"), F.col(value).alias("_v"), F.col(right_time).alias("_rt"))
-    order = Window.partitionBy("_k").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    last = lambda c: F.last(F.when(F.col("_side") == 0, F.struct("_v", "_rt")), ignorenulls=True).over(order)[c]
-    both = a.unionByName(b).withColumn("_value", last("_v")).withColumn("_time", last("_rt"))
-    return both.where("_side = 1").select("_row.*", F.col("_value").alias(value), F.col("_time").alias(right_time))
+    at = lambda t: F.floor(F.col(t) / bucket)
+    seen = right.groupBy(F.col(key).alias("_k"), F.col(right_time).alias("_t")).agg(F.max(value).alias("_v")).withColumn("_b", at("_t"))
+    row = F.struct(*left.columns).alias("_row")
+    rows = left.select(F.col(key).alias("_k"), F.col(left_time).alias("_t"), row).withColumn("_b", at("_t"))
+    both = rows.withColumn("_right", F.lit(None).cast("struct<v:double,t:bigint>")).unionByName(seen.select("_k", "_t", "_b", F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"), F.struct(F.col("_v").cast("double").alias("v"), F.col("_t").cast("long").alias("t")).alias("_right")))
+    within = Window.partitionBy("_k", "_b").orderBy("_t", F.col("_row").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("_last", F.last("_right", ignorenulls=True).over(within)).where("_row is not null")
+    every = rows.select("_k", "_b").distinct().withColumn("_end", F.lit(None).cast("struct<v:double,t:bigint>"))
+    closing = seen.groupBy("_k", "_b").agg(F.max_by(F.struct(F.col("_v").cast("double").alias("v"), F.col("_t").cast("long").alias("t")), "_t").alias("_end"))
+    earlier = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = every.unionByName(closing).groupBy("_k", "_b").agg(F.first("_end", ignorenulls=True).alias("_end")).select("_k", "_b", F.last("_end", ignorenulls=True).over(earlier).alias("_carried"))
+    joined = found.join(carried, ["_k", "_b"]).withColumn("_m", F.coalesce("_last", "_carried"))
+    return joined.select("_row.*", F.col("_m.v").alias(value), F.col("_m.t").alias(right_time))
 
 
 def frame_section(rows: DataFrame, bounds: DataFrame, frame: Column | str) -> DataFrame:

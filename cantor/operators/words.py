@@ -62,15 +62,17 @@ def fragment_words(fragments: DataFrame, language: Column | str = "language") ->
     return rows.withColumn("words", F.filter(every, lambda w: w["norm"] != "")).drop("tokens", "folded", "starts")
 
 
-def words(fragments: DataFrame, language: Column | str = "language") -> DataFrame:
-    """book_id, g, ord, phrase, norm: all words of a book, numbered from 0 in document order.
+def words(fragments: DataFrame, language: Column | str = "language", keep: tuple[str, ...] = (), outer: bool = False) -> DataFrame:
+    """book_id, g, ord, phrase, norm: all words of a book, numbered from 0 in document order, and the columns named in keep.
 
-    One shuffle, of a row per paragraph: the numbering adds up the counts of earlier paragraphs, so words
-    themselves are only exploded afterwards.
+    The numbering adds up the counts of earlier paragraphs, so words are only exploded afterwards. Its window needs a book's
+    paragraphs in one partition: fragments of books that were dealt by book_id before they were cut need no shuffle here.
+    outer: a paragraph without words has one row, with null g, phrase and norm.
     """
-    counted = fragment_words(fragments, language).select("book_id", "ord", "words")
+    counted = fragment_words(fragments, language).select("book_id", "ord", "words", *keep)
     before = Window.partitionBy("book_id").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
     based = counted.withColumn("_g", F.coalesce(F.sum(F.size("words")).over(before), F.lit(0)).cast("long"))
     # Outer, as the filter on size that a plain explode implies would be pushed down through every step above.
-    rows = based.select("book_id", "ord", "_g", F.posexplode_outer("words").alias("_k", "_w")).where("_w is not null")
-    return rows.select("book_id", (F.col("_g") + F.col("_k")).alias("g"), "ord", F.col("_w")["phrase"].alias("phrase"), F.col("_w")["norm"].alias("norm"))
+    rows = based.select("book_id", "ord", *keep, "_g", F.posexplode_outer("words").alias("_k", "_w"))
+    rows = rows if outer else rows.where("_w is not null")
+    return rows.select("book_id", (F.col("_g") + F.col("_k")).alias("g"), "ord", F.col("_w")["phrase"].alias("phrase"), F.col("_w")["norm"].alias("norm"), *keep)

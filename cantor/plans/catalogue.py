@@ -34,27 +34,54 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _documents(spark: SparkSession, d: str) -> DataFrame:
+    """Documents, dealt by id: the only shuffle of texts. What is cut from them and grouped by book stays where it is."""
+    return table(spark, d, "documents").repartition("doc_id")
+
+
 def _books(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select(F.col("doc_id").alias("book_id"), "text", X.language_of("lang").alias("language"))
+    return _documents(spark, d).select(F.col("doc_id").alias("book_id"), "text", X.language_of("lang").alias("language"))
+
+
+def _lines(spark: SparkSession, d: str) -> DataFrame:
+    rows = _books(spark, d).select("book_id", "language", F.posexplode(anchoring.blocks("text", LINE)).alias("_p", "text"))
+    return rows.select("book_id", (F.col("_p") + 1).alias("ord"), F.concat(F.lit("text-p"), F.col("_p") + 1).alias("anchor_id"), "text", "language")
 
 
 def _fragments(spark: SparkSession, d: str) -> DataFrame:
-    books = _books(spark, d)
-    rows = books.select("book_id", "language", F.posexplode(anchoring.blocks("text", LINE)).alias("_p", "text"))
-    flat = rows.select("book_id", (F.col("_p") + 1).alias("ord"), F.concat(F.lit("text-p"), F.col("_p") + 1).alias("anchor_id"), "text", "language")
-    return flat.where(F.size(F.split("text", " ")) >= 2)
+    return _lines(spark, d).where(F.size(F.split("text", " ")) >= 2)
+
+
+def _spoken(fragments: DataFrame) -> DataFrame:
+    """book_id, g, ord, phrase, norm, anchor_id, real, bf, ef (centiseconds), score (hundredths); a row without times for paragraphs not placed."""
+    rows = words.words(fragments.withColumn("real", metrics.is_real("text")), keep=("anchor_id", "real"), outer=True)
+    when = lambda x: F.when(F.expr(f"g is not null and {PLACED}"), F.expr(x))
+    return rows.withColumns({"bf": when(BEGIN), "ef": when(f"{BEGIN} + 20"), "score": when("pmod(book_id * 31 + g * 17, 100)")})
 
 
 def _aligned(spark: SparkSession, d: str) -> DataFrame:
-    """book_id, g, ord, phrase, norm, anchor_id, bf, ef (centiseconds), score (hundredths)."""
-    rows = words.words(_fragments(spark, d)).where(PLACED)
-    return rows.select("*", F.concat(F.lit("text-p"), "ord").alias("anchor_id"), F.expr(BEGIN).alias("bf"), F.expr(f"{BEGIN} + 20").alias("ef"), F.expr("pmod(book_id * 31 + g * 17, 100)").alias("score"))
+    return _spoken(_fragments(spark, d)).where("bf is not null")
+
+
+def _phrases(spoken: DataFrame) -> DataFrame:
+    """Phrase rows in centiseconds, with confidence in hundredths rounded down, and paragraphs without one."""
+    return reshape.phrase_rows(spoken, keep=("real",)).withColumn("conf", F.floor("conf")).withColumnsRenamed({"bf": "begin_cs", "ef": "end_cs"})
 
 
 def _phrase_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Phrase rows in centiseconds, with confidence in hundredths rounded down."""
-    grouped = _aligned(spark, d).groupBy("book_id", "ord", "anchor_id", F.col("phrase").alias("phrase_index"))
-    return grouped.agg(F.min_by("bf", "g").alias("begin_cs"), F.floor(F.sum("score") / F.count("*")).alias("conf"))
+    return _phrases(_aligned(spark, d)).select("book_id", "ord", "anchor_id", "phrase_index", "begin_cs", "conf")
+
+
+def _paragraphs(fragments: DataFrame) -> DataFrame:
+    """All paragraphs of books with words, with what is placed of them, in seconds.
+
+    Recordings are as long as their document's words, in files of 1000 s.
+    """
+    timed = _phrases(_spoken(fragments)).withColumns({"begin_secs": F.col("begin_cs") / 100, "end_secs": F.col("end_cs") / 100, "section": (F.floor(F.col("begin_cs") / 100_000) + 1).cast("int"), "confidence": (F.col("conf") + 40) / 100})
+    paras = metrics.paragraphs(timed).withColumn("_n", F.sum("n_words").over(Window.partitionBy("book_id"))).where("_n > 0")
+    files = F.sequence(F.lit(0), F.floor(F.col("audio_s") / 1000).cast("int"))
+    long = paras.withColumn("audio_s", (F.col("_n") - 1) * 30 / 100 + 60)
+    return long.withColumn("starts", F.transform(files, lambda k: F.struct((k + 1).alias("section"), (k * 1000).cast("double").alias("start")))).drop("_n")
 
 
 def _sections(spark: SparkSession, d: str) -> DataFrame:
@@ -152,11 +179,11 @@ def word_archive(spark, d):
 
 def upper_median(spark, d):
     events = table(spark, d, "events")
-    return events.groupBy("user_id").agg(N.upper_median(F.collect_list("value")).alias("median"))
+    return N.upper_medians(events, "user_id", "value")
 
 
 def _marked(spark, d):
-    return metrics.marked(_fragments(spark, d).select("book_id", "ord", "anchor_id", "text"), _phrase_rows(spark, d))
+    return metrics.marked(_paragraphs(_fragments(spark, d)))
 
 
 def span_coverage(spark, d):
@@ -164,10 +191,10 @@ def span_coverage(spark, d):
 
 
 def apparatus(spark, d):
-    """Ends measured without apparatus: every fifth paragraph of every third book counts as notes."""
-    renamed = lambda rows: rows.withColumn("anchor_id", F.when((F.col("book_id") % 3 == 0) & (F.col("ord") % 5 == 0), F.concat(F.lit("endnotes-p"), "ord")).otherwise(F.col("anchor_id")))
-    frags = renamed(_fragments(spark, d).select("book_id", "ord", "anchor_id", "text"))
-    return metrics.coverage(metrics.marked(frags, renamed(_phrase_rows(spark, d))))
+    """Ends measured without apparatus: every fifth paragraph of every third book counts as notes, and all but each sixth of every seventh."""
+    notes = F.expr("(book_id % 3 = 0 and ord % 5 = 0) or (book_id % 7 = 0 and ord % 6 > 0)")
+    frags = _fragments(spark, d).withColumn("anchor_id", F.when(notes, F.concat(F.lit("endnotes-p"), "ord")).otherwise(F.col("anchor_id")))
+    return metrics.coverage(metrics.marked(_paragraphs(frags)))
 
 
 def inversions(spark, d):
@@ -179,23 +206,12 @@ def confidence(spark, d):
     return metrics.confidence(_phrase_rows(spark, d), "conf")
 
 
-def _ended(spark, d):
-    """Lead and tail in seconds: recordings as long as their document's words, in files of 1000 s."""
-    placed = _phrase_rows(spark, d).select("book_id", "ord", "phrase_index", (F.col("begin_cs") / 100).alias("begin_secs"), (F.floor(F.col("begin_cs") / 100_000) + 1).cast("int").alias("section"))
-    ends = _aligned(spark, d).select("book_id", "ord", (F.col("ef") / 100).alias("end_secs"))
-    counted = words.words(_fragments(spark, d)).groupBy("book_id").agg((F.max("g") * 30 / 100 + 60).alias("audio_s"))
-    starts = counted.withColumn("section", F.explode(F.sequence(F.lit(1), (F.floor(F.col("audio_s") / 1000) + 1).cast("int")))).withColumn("start", ((F.col("section") - 1) * 1000).cast("double"))
-    return metrics.ends(placed, ends, starts)
-
-
 def lead_tail(spark, d):
-    return _ended(spark, d)
+    return metrics.ends(_paragraphs(_fragments(spark, d)))
 
 
 def _measures(spark, d):
-    conf = _phrase_rows(spark, d).withColumn("confidence", (F.col("conf") + 40) / 100)
-    turned = metrics.inversions(_phrase_rows(spark, d).withColumn("begin_secs", F.col("begin_cs") / 100))
-    return metrics.measures(span_coverage(spark, d), metrics.confidence(conf), turned, _ended(spark, d))
+    return metrics.measures(_marked(spark, d))
 
 
 def measures(spark, d):
@@ -223,10 +239,10 @@ def asof_section(spark, d):
 
 
 def asof_events(spark, d):
-    """The large-side form: each third event of a user with the value of the last other one at or before it."""
+    """The large-side form: every event of a user with the value of the user's last earlier one; days are buckets."""
     events = table(spark, d, "events").select("event_id", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), "value")
-    left, right = events.where("event_id % 3 = 0").drop("value"), events.where("event_id % 3 = 1").groupBy("user_id", F.col("at").alias("seen_at")).agg(F.max("value").alias("seen"))
-    return timeline.as_of(left, right, "user_id", "at", "seen_at", "seen")
+    left, right = events.select("event_id", "user_id", "at", (F.col("at") - 1).alias("upto")), events.select("user_id", F.col("at").alias("seen_at"), F.col("value").alias("seen"))
+    return timeline.as_of(left, right, "user_id", "upto", "seen_at", "seen", bucket=86_400_000_000).drop("upto")
 
 
 def frame_section_range(spark, d):
@@ -254,6 +270,15 @@ def overlay_smil(spark, d):
     return overlay.smil(_pars(spark, d).withColumns({"begin": F.col("begin") / 100, "clip_end": F.col("clip_end") / 100}))
 
 
+def overlay_package(spark, d):
+    """The four texts of a package per document that has a recording, at a fixed time."""
+    lines = _books(spark, d).select("book_id", "language", anchoring.anchored_txt("text", LINE).alias("body"), F.substring_index("text", "\n", 1).alias("title"))
+    used = overlay.used_sections(_timeline(spark, d).select("book_id", "position", "reader", (F.col("secs_cs") / 100).alias("secs")), _pars(spark, d))
+    named = lines.join(overlay.readers(used), "book_id").select("*", F.lit(None).cast("string").alias("author"), F.lit("documents").alias("kind"), F.col("book_id").cast("string").alias("id"), F.lit("https://example.org/?a&b").alias("url"), F.lit("").alias("audio_url"))
+    packed = overlay.opf(named, used, "2024-01-01T00:00:00Z")
+    return packed.join(named, "book_id").select("book_id", "opf", overlay.xhtml("body", "title", "language").alias("xhtml"), overlay.nav("body", "title", "language").alias("nav"))
+
+
 def clock_text(spark, d):
     return _begins(spark, d).select("book_id", "anchor_id", N.clock(F.col("whole_begin") / 100).alias("clock"), N.hours_minutes(F.floor(F.col("whole_begin") / 10)).alias("length"))
 
@@ -263,10 +288,9 @@ def text_fingerprint(spark, d):
 
 
 def minted_ids(spark, d):
-    """First words of a source's documents as section titles, ids told apart."""
-    first = table(spark, d, "documents").select("source", "doc_id", X.slugify(F.substring_index(F.substring_index("text", "\n", 1), " ", 1)).alias("base"))
-    listed = first.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("doc_id", "base"))).alias("s"))
-    return listed.select("source", F.posexplode(anchoring.mint_ids(F.transform("s", lambda x: x["base"]))).alias("pos", "id"))
+    """All lines of a document as section titles, ids told apart."""
+    lines = _books(spark, d).select("book_id", F.transform(anchoring.blocks("text", LINE), lambda b, i: anchoring.base_slug(b, i + 1)).alias("_b"))
+    return lines.select("book_id", F.posexplode(anchoring.mint_ids("_b")).alias("pos", "id"))
 
 
 def sectioning(spark, d):
@@ -301,7 +325,7 @@ def semi_anti_anchors(spark, d):
 
 
 def _roundtrip(spark, d):
-    docs = _documents(spark, d)
+    docs = _parsed(spark, d)
     return document.parsed(docs.select("doc_id", document.serialized(docs).alias("value")))
 
 
@@ -310,7 +334,7 @@ def doc_roundtrip(spark, d):
     return _roundtrip(spark, d).select("doc_id", "format", "generator", F.substring("book.title", 1, 40).alias("title"), "book.author", "book.language", F.col("alignment").isNull().alias("unaligned"))
 
 
-def _documents(spark, d):
+def _parsed(spark, d):
     docs = table(spark, d, "documents")
     title = F.regexp_extract(F.to_json(F.array("text")), "^\\[([\\s\\S]*)\\]$", 1)
     raw = F.concat(F.lit(f'{{"format":"{document.FORMAT}","book":{{"title":'), title, F.lit(',"author":null,"language":"'), "lang", F.lit('"}}'))
@@ -391,7 +415,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         paragraphs_txt, anchored_fragments, paragraphs_html, anchored_html, html_blocks, named_entities, headings, slugs, hrefs_same_page, listen_urls, languages, folded,
         words_normalized, phrase_cut, phrase_counts, phrase_rows, flat_rows, word_archive, upper_median, span_coverage, apparatus, inversions, confidence, lead_tail, measures,
-        verdict, refusal, section_timeline, asof_section, asof_events, frame_section_range, overlay_pars, overlay_summary, overlay_smil, clock_text, text_fingerprint, minted_ids,
+        verdict, refusal, section_timeline, asof_section, asof_events, frame_section_range, overlay_pars, overlay_summary, overlay_smil, overlay_package, clock_text, text_fingerprint, minted_ids,
         sectioning, section_anchors, lock_scores, chunk_sizes, semi_anti_anchors, doc_roundtrip, ctc_align, chain_align, bracket_align,
     )
 }

@@ -109,9 +109,24 @@ _REFUSAL = f"""CASE WHEN {_PASS} THEN NULL
   WHEN lead_s > {MAX_LEAD_S} THEN 'the recording plays for ' || floor(lead_s + 0.5)::BIGINT || ' seconds before the first paragraph it matched; the bar is 125 — its opening didn''t line up.'
   WHEN coalesce(start_gap, 1) > {MAX_END_GAP} THEN 'the narration starts ' || {_PCT.format('coalesce(start_gap, 1)')} || ' of the way into the text; the bar is 5% — it may skip the tale''s opening.'
   ELSE 'the narration stops ' || {_PCT.format('coalesce(end_gap, 1)')} || ' short of the text''s end; the bar is 5% — it may cover just part of the tale.' END"""
-_RENAMED = "CASE WHEN book_id % 3 = 0 AND ord % 5 = 0 THEN 'endnotes-p' || ord ELSE anchor_id END"
+_RENAMED = "CASE WHEN (book_id % 3 = 0 AND ord % 5 = 0) OR (book_id % 7 = 0 AND ord % 6 > 0) THEN 'endnotes-p' || ord ELSE anchor_id END"
+
+_MINT = """fold(book_id, i, ids) AS (SELECT book_id, 0, []::VARCHAR[] FROM bases
+  UNION ALL SELECT book_id, i + 1, list_append(ids, CASE WHEN list_contains(ids, b[i + 1]) THEN b[i + 1] || '-' || list_filter(range(2, i + 3), lambda n: NOT list_contains(ids, b[i + 1] || '-' || n))[1] ELSE b[i + 1] END) FROM fold JOIN bases USING (book_id) WHERE i < len(b)),
+minted AS (SELECT book_id, unnest(ids) AS id, generate_subscripts(ids, 1) AS n FROM (SELECT book_id, ids FROM fold JOIN bases USING (book_id) WHERE i = len(b)))"""
+_BASE = "coalesce(nullif({0}, ''), CASE WHEN {1} = 1 THEN 'beginning' ELSE 'section-' || {1} END)"
+_ATTR = "replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;')"
+_CS = "({0}) // 100 || '.' || lpad((({0}) % 100)::VARCHAR, 2, '0') || '0s'"
 
 ORACLE_SQL: dict[str, str] = {
+    "minted_ids": _with(f"SELECT book_id, n - 1 AS pos, id FROM minted", "lines").replace("WITH ", "WITH RECURSIVE ", 1).replace("\nSELECT book_id, n - 1", f",\nbases AS MATERIALIZED (SELECT book_id, list({_BASE.format(_slug('text'), 'ord')} ORDER BY ord) AS b FROM lines GROUP BY book_id),\n{_MINT}\nSELECT book_id, n - 1", 1),
+    "section_anchors": _with("SELECT book_id, section, block, id || '-p' || row_number() OVER (PARTITION BY book_id, section ORDER BY block) AS anchor_id FROM sectioned JOIN minted m USING (book_id) WHERE m.n = section AND NOT h", "sectioned").replace("WITH ", "WITH RECURSIVE ", 1).replace("\nSELECT book_id, section, block, id", f",\nbases AS MATERIALIZED (SELECT book_id, list({_BASE.format(_slug('title'), 'section')} ORDER BY section) AS b FROM (SELECT DISTINCT book_id, section, title FROM sectioned) GROUP BY book_id),\n{_MINT}\nSELECT book_id, section, block, id", 1),
+    "measures": _with("""SELECT c.book_id, paras::INT AS paras, placed::INT AS placed, printf('%.3f', first_body / body_paras)::DOUBLE AS start_gap, printf('%.3f', (body_paras - 1 - last_body) / body_paras)::DOUBLE AS end_gap, true AS has_ends,
+  coalesce(printf('%.3f', placed / (last_idx - first_idx + 1))::DOUBLE, 0) AS span_coverage, printf('%.1f', lead_s::DOUBLE)::DOUBLE AS lead_s, printf('%.1f', tail_s::DOUBLE)::DOUBLE AS tail_s, coalesce(phrases, 0)::INT AS phrases, coalesce(median, 0) AS median_conf, coalesce(turned, 0)::INT AS inversions, printf('%.0f', audio_s::DOUBLE)::INT AS audio_s
+  FROM covered c JOIN ended USING (book_id) LEFT JOIN (SELECT book_id, count(*) AS phrases, list_sort(list((conf + 40) / 100))[count(*) // 2 + 1] AS median FROM prows GROUP BY book_id) USING (book_id)
+  LEFT JOIN (SELECT book_id, count(*) FILTER (begin_cs < before - 100) AS turned FROM (SELECT book_id, begin_cs, lag(begin_cs) OVER (PARTITION BY book_id ORDER BY ord, phrase_index) AS before FROM prows) GROUP BY book_id) USING (book_id)""", "covered", "ended", "prows"),
+    "overlay_smil": _with(f"""SELECT book_id, '<?xml version="1.0" encoding="utf-8"?><smil xmlns="http://www.w3.org/ns/SMIL" xmlns:epub="http://www.idpf.org/2007/ops" version="3.0"><body><seq id="spoken" epub:textref="book.xhtml" epub:type="bodymatter">' ||
+  string_agg('<par id="p' || par || '"><text src="book.xhtml#' || {_ATTR.format('anchor_id')} || '"/><audio src="sound/' || lpad(section::VARCHAR, 4, '0') || '.mp3" clipBegin="' || {_CS.format('"begin"')} || '"' || coalesce(' clipEnd="' || {_CS.format('clip_end')} || '"', '') || '/></par>', '' ORDER BY par) || '</seq></body></smil>' AS smil FROM pars GROUP BY book_id""", "pars"),
     "paragraphs_txt": _with(f"SELECT book_id, ord, anchor_id, {_ESC.format('text')} AS html FROM frags", "frags"),
     "anchored_fragments": _with("SELECT book_id, ord, anchor_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text FROM frags", "frags"),
     "named_entities": f"SELECT page_id, i - 1 AS pos, {_entities('raw')} AS text FROM (SELECT page_id, unnest(l) AS raw, generate_subscripts(l, 1) AS i FROM (SELECT page_id, regexp_extract_all(html, '<p[^>]*>([^<]*)</p>', 1) AS l FROM pages))",
@@ -137,7 +152,7 @@ ORACLE_SQL: dict[str, str] = {
     "refusal": _with(f"SELECT book_id, {_REFUSAL} AS refusal FROM measured", "measured"),
     "section_timeline": _with("SELECT book_id, position, reader, secs_cs, start FROM line", "line"),
     "asof_section": _with("SELECT * FROM located", "located"),
-    "asof_events": "SELECT l.event_id, l.user_id, epoch_us(l.ts) AS \"at\", r.seen, epoch_us(r.ts) AS seen_at FROM (SELECT * FROM events WHERE event_id % 3 = 0) l ASOF LEFT JOIN (SELECT user_id, ts, max(value) AS seen FROM events WHERE event_id % 3 = 1 GROUP BY ALL) r ON l.user_id = r.user_id AND l.ts >= r.ts",
+    "asof_events": "SELECT l.event_id, l.user_id, epoch_us(l.ts) AS \"at\", r.seen, epoch_us(r.ts) AS seen_at FROM events l ASOF LEFT JOIN (SELECT user_id, ts, max(value) AS seen FROM events GROUP BY ALL) r ON l.user_id = r.user_id AND l.ts > r.ts",
     "frame_section_range": _with("SELECT b.book_id, anchor_id, whole_begin, coalesce(position, last) AS section FROM begins b JOIN (SELECT book_id, max(position) AS last FROM line GROUP BY book_id) USING (book_id) LEFT JOIN line l ON l.book_id = b.book_id AND whole_begin >= start AND whole_begin < start + secs_cs", "begins", "line"),
     "overlay_pars": _with("SELECT * FROM pars", "pars"),
     "overlay_summary": _with(

@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import html as H
-from ..operators import anchoring
+from ..operators import anchoring, overlay
 
+SKIPPED = re.compile(anchoring.SKIP_IDREF)
 ENTRIES = "path string, title string, author string, language string, manifest array<struct<pos:int,item_id:string,href:string>>, spine array<struct<pos:int,idref:string>>, opf_dir string"
 
 
@@ -87,28 +88,31 @@ def identities(files: DataFrame) -> DataFrame:
     return packages(files).select("path", "title", "author", "language")
 
 
+def _body(data: bytes) -> list[tuple[str, str]]:
+    """(html, text) of all body blocks of a book's text files, in spine order."""
+    told = package(data)
+    # The last entry of an id wins; front matter and entries without a file are passed over.
+    files = {item["item_id"]: item["href"] for item in told["manifest"]}
+    wanted = [files[ref["idref"]] for ref in told["spine"] if ref["idref"] in files and not SKIPPED.match(ref["idref"])]
+    folder = told["opf_dir"]
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        return [block for href in wanted for block in H.html_blocks(entry(z, f"{folder}/{href}" if folder else href).decode("utf-8", "replace"))]
+
+
 def file_blocks(files: DataFrame) -> DataFrame:
-    """book_id, block, html, text: tidied body blocks of all text files of a book, in spine order, plumbing dropped."""
-    found = packages(files)
-    manifest = found.select(F.col("path").alias("book_id"), F.inline("manifest"))
-    spine = found.select(F.col("path").alias("book_id"), F.inline("spine"))
-    wanted = anchoring.spine_blocks(spine, manifest).groupBy("book_id").agg(F.array_sort(F.collect_list(F.struct("pos", "href"))).alias("parts"))
-    rows = files.join(wanted, files["path"] == wanted["book_id"]).join(found.select(F.col("path").alias("_p"), "opf_dir"), F.col("path") == F.col("_p")).select("book_id", "content", "opf_dir", "parts")
+    """book_id, block, html, text: tidied body blocks of all text files of a book, in spine order, plumbing dropped.
+
+    A book's archive is opened where it was read; its blocks leave in batches.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            out = []
-            for book, content, folder, parts in zip(f["book_id"], f["content"], f["opf_dir"], f["parts"], strict=True):
-                with zipfile.ZipFile(io.BytesIO(bytes(content))) as z:
-                    for part in parts:
-                        name = f"{folder}/{part['href']}" if folder else part["href"]
-                        out += [(book, html, text) for html, text in H.html_blocks(entry(z, name).decode("utf-8", "replace"))]
-            numbered: dict[str, int] = {}
-            for book, html, text in out:
-                numbered[book] = numbered.get(book, -1) + 1
-                yield pd.DataFrame([(book, numbered[book], html, text)], columns=["book_id", "block", "html", "text"])
+            for path, content in zip(f["path"], f["content"], strict=True):
+                found = _body(bytes(content))
+                for k in range(0, len(found), 1000):
+                    yield pd.DataFrame([(path, k + i, html, text) for i, (html, text) in enumerate(found[k : k + 1000])], columns=["book_id", "block", "html", "text"])
 
-    return anchoring.keep_blocks(rows.mapInPandas(run, "book_id string, block int, html string, text string"))
+    return anchoring.keep_blocks(files.select("path", "content").mapInPandas(run, "book_id string, block int, html string, text string"))
 
 
 def anchored(files: DataFrame) -> DataFrame:
@@ -127,14 +131,16 @@ def anchored(files: DataFrame) -> DataFrame:
     return named.select("book_id", F.coalesce("body", F.raise_error(F.concat("book_id", F.lit(": no readable body after conversion"))).cast("string")).alias("body"))
 
 
-def write(out: str, texts: dict[str, str], audio: dict[str, bytes]) -> None:
-    """A package: the media type first and stored, the rest deflated. For the edge, a book at a time."""
-    container = '<?xml version="1.0" encoding="utf-8"?>\n<container version="1.0" xmlns="urn:oasis:names:tc:opendocument:xmlns:container">\n  <rootfiles>\n    <rootfile full-path="OEBPS/content.opf" media-type="application/oebps-package+xml"/>\n  </rootfiles>\n</container>'
-    with zipfile.ZipFile(out, "w") as z:
+def write(out: str, texts: dict[str, str], audio: dict[str, bytes], folder: str = "book") -> None:
+    """A package: the media type first and stored, the rest deflated. For the edge, a book at a time.
+
+    texts: the package file as content.opf, and what its manifest names; audio: bytes by name in the manifest.
+    """
+    root = ElementTree.Element("container", {"version": "1.0", "xmlns": "urn:oasis:names:tc:opendocument:xmlns:container"})
+    ElementTree.SubElement(ElementTree.SubElement(root, "rootfiles"), "rootfile", {"full-path": f"{folder}/content.opf", "media-type": "application/oebps-package+xml"})
+    files = {"META-INF/container.xml": ElementTree.tostring(root, encoding="utf-8", xml_declaration=True)}
+    files |= {f"{folder}/{name}": data for name, data in {overlay.STYLE: overlay.STYLE_TEXT, **texts, **audio}.items()}
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
         z.writestr(zipfile.ZipInfo("mimetype"), "application/epub+zip", zipfile.ZIP_STORED)
-        z.writestr("META-INF/container.xml", container, zipfile.ZIP_DEFLATED)
-        z.writestr("OEBPS/style.css", ".mo-active { background: #ffe9a8; color: #1a1a1a; }\n", zipfile.ZIP_DEFLATED)
-        for name, text in texts.items():
-            z.writestr(f"OEBPS/{name}", text, zipfile.ZIP_DEFLATED)
-        for name, data in audio.items():
-            z.writestr(f"OEBPS/audio/{name}", data, zipfile.ZIP_DEFLATED)
+        for name, data in files.items():
+            z.writestr(name, data)
