@@ -4,19 +4,20 @@
 2. Documents with equal sets fall together by digest; the smallest id stands for them. The rest works on these.
 3. Forest: each representative has a row in each of TREES orders, keyed by DEPTH signature bytes. The rows of all
    orders are sorted in one range-partitioned sort, so no prefix, however common, lands in one task. Neighbours with
-   a common prefix of at least least_prefix() bytes form a region; a region over REGION rows is cut at longer prefixes, as
-   deep as it takes there. Within a region a sketch of SKETCH bytes is compared, and pairs that look alike enough
-   to be links (least_alike(), five standard deviations under the threshold) are thinned to a spanning forest of all that the task has seen.
-4. The forest's pairs give coarse clusters. They are a net to be searched, not a result: every pair of
-   a cluster of up to BLOCK documents is compared on its full shingle sets. Larger clusters are dealt into blocks
-   of BLOCK documents; up to WHOLE documents, each two blocks are compared. Beyond, overlapping runs in ORDERS sorted
-   orders join most of what belongs together, and what they leave in several parts is compared by a prefix filter:
-   two sets that are a link share one of the rarest shingles of both, few enough to be joined on. It leaves out
-   no link; only pairs of one part, which add nothing, and of sizes too far apart are passed over.
+   a common prefix of at least least_prefix() bytes form a region. A region of up to REGION rows is compared on its sketches of
+   SKETCH bytes, row by row; a larger one goes on deeper: its sketches are sorted by ROUNDS orders of their own, and each
+   row is compared with the NEAR rows that share the longest prefix with it. Pairs that look alike enough to be links
+   (least_alike(), five standard deviations under the threshold) are thinned to a spanning forest of all that the task has seen.
+4. The forest's pairs give coarse clusters. They are a net to be searched, not a result. Every pair of a cluster of up
+   to BLOCK documents is compared on its full shingle sets, in one task. Of a larger cluster, the forest's own pairs are compared
+   first, each hub with its members. What that leaves in several parts is compared by a prefix filter: of two sets that are
+   a link, the first common shingle, in one order of all of the cluster's shingles, is among the first few of both, so
+   pairs are found by joining on those, dealt by shingle. The order puts common shingles last. No link is left out at any
+   size; only pairs of one part, which add nothing, are passed over.
 5. Confirmed links give the components; copies get their representative's.
 
-Each text is sent once to the task that compares its cluster (more often only in clusters over BLOCK). Nothing of
-it is collected to the driver but a few counts.
+Each text is sent once to the task that compares its cluster (in clusters over BLOCK about twice, and once more for each tile in
+which it has a possible partner). Nothing of it is collected to the driver but a few counts.
 
 Defined results: null, empty and blank texts have an empty set, are linked with nothing and are kept. Repeated rows
 (equal ids) share sets and get equal results; ties don't matter, as links have no order. A null id is kept as a
@@ -30,8 +31,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import materialize, short_batches
@@ -44,7 +44,11 @@ TREES, DEPTH, REGION = 20, 12, 256
 SKETCH = 64
 #: Chance, at most, that a pair at the threshold shares no region in any tree.
 MISSED = 1e-5
-BLOCK, WHOLE, ORDERS = 256, 4096, 10
+BLOCK = 256
+#: In a crowded region: orders of the sketches, bytes they are sorted by, and how many neighbours a row is compared with.
+ROUNDS, SORTED, NEAR = 4, 24, 8
+#: A shingle that more than a COMMON-th of a cluster's documents have is put behind the others.
+COMMON = 20
 #: Rows that a task sorting through the forest holds of one region before it is cut.
 HELD = 50_000
 #: Documents whose pairs such a task remembers, to leave out pairs that join nothing new.
@@ -122,42 +126,58 @@ def _alike(sketches: np.ndarray, est: int) -> np.ndarray:
     return pairs[pairs[:, 0] < pairs[:, 1]]
 
 
-def _regions(keys: np.ndarray, low: int, high: int, depth: int, size: int):
-    """Runs of equal prefixes in sorted keys, cut at longer prefixes until they have at most `size` rows.
-
-    Rows with equal whole keys are cut into overlapping runs.
-    """
-    if high - low < 2:
-        return
-    if high - low <= size:
-        yield low, high
-        return
-    if depth >= keys.shape[1]:
-        for at in range(low, high - 1, size // 2):
-            yield at, min(at + size, high)
-        return
-    cuts = [low, *(np.flatnonzero(keys[low + 1 : high, depth] != keys[low : high - 1, depth]) + low + 1).tolist(), high]
-    if len(cuts) > 2:
-        # Across the cuts, each run's last rows meet the next one's first, so that the region stays in one piece.
-        for at in cuts[1:-1]:
-            yield max(low, at - 4), min(high, at + 4)
-    for a, b in zip(cuts, cuts[1:], strict=False):
-        yield from _regions(keys, a, b, depth + 1, size)
-
-
-def _links_of_region(ids: np.ndarray, keys: np.ndarray, sketches: np.ndarray, least: int, est: int) -> tuple[list, list]:
-    a, b = [], []
-    for low, high in _regions(keys, 0, len(ids), least, REGION):
-        roots = _join(_alike(sketches[low:high], est), high - low)
-        for i, r in enumerate(roots):
-            if i != r:
-                a.append(ids[low + r])
-                b.append(ids[low + i])
-    return a, b
+class _Joined:
+    """Which of n rows are joined, and the pairs that joined them."""
+
+    def __init__(self, n: int):
+        self.root, self.edges = np.arange(n), []
+
+    def apart(self, pairs: np.ndarray) -> np.ndarray:
+        """Those of the pairs that would join something."""
+        while not np.array_equal(up := self.root[self.root], self.root):
+            self.root = up
+        return pairs[self.root[pairs[:, 0]] != self.root[pairs[:, 1]]]
+
+    def join(self, pairs: np.ndarray) -> None:
+        root = self.root
+        for i, j in self.apart(pairs).tolist():
+            a, b = _find(root, i), _find(root, j)
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                self.edges.append((i, j))
+
+
+def _hubs(pairs: np.ndarray, n: int) -> list[tuple[int, int]]:
+    """Pairs (hub, member) that join what the pairs join: the row with most partners first."""
+    joined = _Joined(n)
+    while len(pairs):
+        hub = int(np.bincount(pairs.ravel(), minlength=n).argmax())
+        mine = pairs[(pairs == hub).any(axis=1)].sum(axis=1) - hub
+        joined.join(np.stack([np.full(len(mine), hub), mine], 1))
+        pairs = joined.apart(pairs)
+    return joined.edges
+
+
+def _crowded(sketches: np.ndarray, est: int, seed: int) -> list[tuple[int, int]]:
+    """Pairs that join rows of a large region: the sketches sorted in several orders, each row compared with its neighbours."""
+    rng, joined = np.random.default_rng(seed), _Joined(len(sketches))
+    for _ in range(ROUNDS):
+        keys = np.ascontiguousarray(sketches[:, rng.permutation(SKETCH)[:SORTED]]).view(">u8")
+        order = np.lexsort(keys.T[::-1])
+        s = sketches[order]
+        for step in range(1, NEAR + 1):
+            alike = np.flatnonzero((s[:-step] == s[step:]).sum(axis=1, dtype=np.uint8) >= est)
+            joined.join(np.stack([order[alike], order[alike + step]], 1))
+    return joined.edges
+
+
+def _pairs_of_region(sketches: np.ndarray, est: int, seed: int) -> list[tuple[int, int]]:
+    n = len(sketches)
+    return [] if n < 2 else _hubs(_alike(sketches, est), n) if n <= REGION else _crowded(sketches, est, seed)
 
 
 def _forest(batches: Iterator[pa.RecordBatch], of: int) -> Iterator[pa.RecordBatch]:
-    """Batches sorted by tree and key: tree int, key binary, sketch binary, doc_id long. Result: pairs."""
+    """Batches sorted by tree and key: key binary (the tree first), sketch binary, doc_id long. Result: pairs (hub, member)."""
     width, least, est = 1 + DEPTH, least_prefix(of), least_alike(of)
     held: list[np.ndarray] = []
     parent: dict[int, int] = {}
@@ -173,11 +193,12 @@ def _forest(batches: Iterator[pa.RecordBatch], of: int) -> Iterator[pa.RecordBat
         if sum(map(len, rows)) > 1:
             m = np.concatenate(rows)
             # Only pairs that join what this task hasn't joined yet.
-            for pair in zip(*_links_of_region(m["id"], m["key"][:, 1:], m["sketch"], least, est), strict=True):
-                a, b = sorted(root(int(x)) for x in pair)
+            for i, j in _pairs_of_region(m["sketch"], est, int(m["key"][0, 0])):
+                x, y = int(m["id"][i]), int(m["id"][j])
+                a, b = root(x), root(y)
                 if a != b:
-                    parent[b] = a
-                    sent.append((a, b))
+                    parent[max(a, b)] = min(a, b)
+                    sent.append((x, y))
             if len(parent) > KNOWN:
                 parent.clear()
 
@@ -239,7 +260,10 @@ def exact_pairs(sets: list[np.ndarray], part: int = PART, of: int = OF) -> np.nd
 
 
 def _confirm(batches: Iterator[pa.RecordBatch], of: int) -> Iterator[pa.RecordBatch]:
-    """Batches sorted by group: g, doc_id, text. Result: a star of confirmed links per component of each group."""
+    """Batches sorted by group: g, doc_id, text. Result: a star of confirmed links per component of each group.
+
+    A task holds the shingle sets of one group, of BLOCK documents at most (8 bytes a shingle).
+    """
     group, ids, sets = None, [], []
 
     def links():
@@ -261,97 +285,91 @@ def _confirm(batches: Iterator[pa.RecordBatch], of: int) -> Iterator[pa.RecordBa
     yield links()
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches sorted by component, order and key. Result: each node in two overlapping runs of up to BLOCK."""
-    task, at, now = TaskContext.get().partitionId(), 0, None
-    for b in batches:
-        groups, nodes = [], []
-        for component, order, node in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if now != (component, order):
-                now, at = (component, order), 0
-            for k in (at // (BLOCK // 2), at // (BLOCK // 2) + 1):
-                groups.append(f"w:{component}:{order}:{task}:{k}")
-                nodes.append(node)
-            at += 1
-        yield pa.RecordBatch.from_arrays([pa.array(groups, pa.string()), pa.array(nodes, pa.int64())], names=["g", "node"])
-
-
-def _dealt(clusters: DataFrame, signs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """g, doc_id: the groups whose documents are compared, by three recipes; and the clusters that runs don't settle."""
+def _dealt(clusters: DataFrame, coarse: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """g, node: the groups whose documents are compared first; and component, node of the clusters over BLOCK."""
     sizes = materialize(clusters.groupBy("component").agg(F.count("*").alias("n")).where(f"n > {BLOCK}"), "sizes")
     named = clusters.join(sizes, "component", "left")
     small = named.where("n is null").select(F.concat_ws(":", F.lit("c"), "component").alias("g"), "node")
     if not sizes.limit(1).count():
         return small, None
-    big = materialize(named.where("n is not null"), "big")
-    # Each two blocks of a cluster: a document goes with every other block of its cluster.
-    blocks = F.ceil(F.col("n") / (BLOCK // 2)).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    paired = big.where(f"n <= {WHOLE}").withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1))).where("_own <> _other")
-    paired = paired.select(F.concat_ws(":", F.lit("p"), "component", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("g"), "node")
-    huge = big.where(f"n > {WHOLE}")
-    if not huge.limit(1).count():
-        return small.union(paired), None
-    # Sorted by several signature orders and cut into runs of half a block, one after another within a partition.
-    spread = F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1)))
-    keyed = huge.join(signs.select(F.col("doc_id").alias("node"), "sign"), "node").withColumn("_o", spread)
-    keyed = keyed.select("component", "_o", F.substring("sign", F.col("_o") * DEPTH + 1, F.lit(DEPTH)).alias("_k"), "node")
-    parts = int(clusters.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["component", "_o", "_k", "node"]
-    windows = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("component", "_o", "node").mapInArrow(_runs, "g string, node long")
-    return small.union(paired).union(windows), huge.select("component", "node")
+    big = materialize(named.where("n is not null").select("component", "node"), "big")
+    # A hub with its members, at most BLOCK at a time.
+    stars = coarse.join(big.select(F.col("node").alias("a")), "a")
+    degrees = stars.groupBy("a").agg(F.ceil(F.count("*") / (BLOCK // 2)).cast("int").alias("_k"))
+    parts = materialize(stars.join(degrees, "a").withColumn("g", F.concat_ws(":", F.lit("h"), "a", F.pmod(F.xxhash64("b"), F.col("_k")))).select("g", "a", "b"), "stars")
+    return small.union(parts.select("g", F.col("b").alias("node"))).union(parts.select("g", F.col("a").alias("node")).distinct()), big
 
 
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches: cluster, part, node, minor, text. Result: the text's shingles for it."""
+    """Batches: some columns, the last of them text. Result: the text's shingles instead of it."""
     for b in batches:
         for i in range(b.num_rows):
-            s = shingle_set(b.column(4)[i].as_py())
-            rest = [c.slice(i, 1) for c in b.columns[:4]]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array([s.view(np.int64)], pa.list_(pa.int64()))], names=["cluster", "part", "node", "minor", "shingles"])
+            s = shingle_set(b.column(b.num_columns - 1)[i].as_py())
+            yield pa.RecordBatch.from_arrays([*(c.slice(i, 1) for c in b.columns[:-1]), pa.array([s.view(np.int64)], pa.list_(pa.int64()))], names=[*b.schema.names[:-1], "shingles"])
 
 
-def _rest(huge: DataFrame, found: DataFrame, texts: DataFrame, threshold: int) -> DataFrame | None:
+def _prefixes(batches: Iterator[pa.RecordBatch], of: int) -> Iterator[pa.RecordBatch]:
+    """Batches: cluster, part, node, minor, tiles, shingles, common, often. Result: a row per shingle of each set's prefix.
+
+    Shingles are ordered by how many documents of the cluster have them, those of up to a COMMON-th of them first, as one class; then by value.
+    """
+    for b in batches:
+        columns: list[list] = [[], [], [], [], [], [], [], []]
+        for i, row in enumerate(zip(*(b.column(k).to_pylist() for k in range(5)), strict=True)):
+            s = np.array(b.column(5)[i].values)
+            common, often = np.array(b.column(6)[i].values, np.int64), np.array(b.column(7)[i].values, np.int64)
+            rank = np.zeros(len(s), np.int64)
+            if len(common):
+                at = np.minimum(np.searchsorted(common, s), len(common) - 1)
+                rank = np.where(common[at] == s, often[at], 0)
+            first = len(s) - -(-len(s) * of // PART) + 1
+            chosen = s[np.lexsort((s, rank))[:first]]
+            for column, value in zip(columns, (*row, len(s)), strict=False):
+                column += [value] * len(chosen)
+            columns[6] += chosen.tolist()
+            columns[7] += range(1, len(chosen) + 1)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.bool_() if k == 3 else pa.int64()) for k, c in enumerate(columns)], names=["cluster", "part", "node", "minor", "tiles", "size", "s", "place"])
+
+
+def _rest(big: DataFrame, found: DataFrame, texts: DataFrame, threshold: int) -> DataFrame | None:
     """g, node: groups that hold every possible link between different parts of clusters; None if all are in one part.
 
-    huge: component, node; found: components of the links so far; texts: node, text.
+    big: component, node; found: components of the links so far; texts: node, text.
 
-    Shingles are put in an order, the rarest of the cluster first. Of two sets with PART * intersection >= threshold * union
-    each has threshold / PART of its shingles in common with the other, so that the first common one is among the first
-    size - ceil(threshold * size / PART) + 1 of both. A pair has one side at least outside its cluster's largest part: that
-    side goes to every block of a shingle's documents, so that no shingle, however common, lands in one task.
+    Of two sets with PART * intersection >= threshold * union each has threshold / PART of its shingles in common with the other, so
+    that the first common one is among the first size - ceil(threshold * size / PART) + 1 of both. A pair has one side at least
+    outside its cluster's largest part: that side goes to every block of a shingle's documents, so that no shingle, however
+    common, lands in one task. Counts of shingles are added up before they are shuffled; sets themselves never are.
     """
-    named = huge.select(F.col("component").alias("cluster"), "node").join(found.withColumnRenamed("component", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
+    named = big.select(F.col("component").alias("cluster"), "node").join(found.withColumnRenamed("component", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
     sizes = named.groupBy("cluster", "part").agg(F.count("*").alias("n"))
     split = sizes.groupBy("cluster").agg(F.max_by("part", F.struct("n", "part")).alias("major"), F.count("*").alias("parts"), F.sum("n").alias("_all")).where("parts > 1")
     split = materialize(split, "split")
     if not split.limit(1).count():
         return None
-    rows = named.join(split.select("cluster", "major", "_all"), "cluster").withColumn("minor", F.col("part") != F.col("major"))
-    sets = rows.join(texts, "node").select("cluster", "part", "node", "minor", "text").mapInArrow(_shingles, "cluster long, part long, node long, minor boolean, shingles array<long>")
+    tiles = F.ceil(F.col("_all") / (BLOCK // 2))
+    rows = named.join(split, "cluster").select("cluster", "part", "node", (F.col("part") != F.col("major")).alias("minor"), tiles.alias("tiles"))
+    head = "cluster long, part long, node long, minor boolean, tiles long"
     # A repeated id may have several texts: each is a row.
-    sets = materialize(sets.withColumn("row", F.monotonically_increasing_id()), "sets_of_rest").withColumn("size", F.size("shingles"))
-    each = sets.select("cluster", "part", "node", "minor", "row", "size", F.explode("shingles").alias("s"))
-    often = materialize(each.groupBy("cluster", "s").agg(F.count("*").alias("often")), "often")
-    place = F.row_number().over(Window.partitionBy("row").orderBy("often", "s"))
-    first = each.join(often, ["cluster", "s"]).withColumn("place", place).where(f"place <= size - (size * {threshold} + {PART - 1}) div {PART} + 1 and often > 1")
-    first = materialize(first.drop("often"), "prefixes")
+    sets = materialize(rows.join(texts, "node").select("cluster", "part", "node", "minor", "tiles", "text").mapInArrow(_shingles, f"{head}, shingles array<long>"), "sets_of_rest")
+    often = sets.select("cluster", F.explode("shingles").alias("s")).groupBy("cluster", "s").agg(F.count("*").alias("often"))
+    common = often.join(split.select("cluster", "_all"), "cluster").where(f"often * {COMMON} > _all").groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct("s", "often"))).alias("_c"))
+    common = materialize(common.select("cluster", F.transform("_c", lambda x: x["s"]).alias("common"), F.transform("_c", lambda x: x["often"]).alias("often")), "common")
+    none = F.array().cast("array<bigint>")
+    ranked = sets.join(common, "cluster", "left").select("cluster", "part", "node", "minor", "tiles", "shingles", F.coalesce("common", none).alias("common"), F.coalesce("often", none).alias("often"))
+    first = materialize(ranked.mapInArrow(partial(_prefixes, of=threshold), f"{head}, size long, s long, place long"), "prefixes")
     # Shingles that lie in one part only join nothing new.
     useful = first.groupBy("cluster", "s").agg(F.min("part").alias("_low"), F.max("part").alias("_high"), F.count("*").alias("n")).where("_low < _high")
     dealt = materialize(first.join(useful.select("cluster", "s", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), ["cluster", "s"]), "dealt")
-    columns = ["cluster", "s", "part", "node", "size", "place"]
-    one = dealt.withColumn("_b", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).select("_b", *columns)
-    other = dealt.where("minor").withColumn("_b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("_b", "cluster", "s", *(F.col(c).alias(f"{c}2") for c in columns[2:]))
-    # Common shingles are at most this one and those after it in both.
-    most = 1 + F.least(F.col("size") - F.col("place"), F.col("size2") - F.col("place2"))
-    earlier = F.least("place", "place2") - 1
-    possible = (F.lit(PART) * (most + earlier) >= F.lit(threshold) * (F.col("size") + F.col("size2") - most - earlier)) & (F.lit(PART) * F.least("size", "size2") >= F.lit(threshold) * F.greatest("size", "size2"))
+    one = dealt.select(F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("_b"), "cluster", "s", "part", "node", "size", "place", "tiles")
+    other = dealt.where("minor").select(F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("_b"), "cluster", "s", *(F.col(c).alias(f"{c}2") for c in ("part", "node", "size", "place")))
+    # Common shingles are at most this one, those before it in both and those after it in both.
+    most = F.least("place", "place2") + F.least(F.col("size") - F.col("place"), F.col("size2") - F.col("place2"))
+    possible = (F.lit(PART) * most >= F.lit(threshold) * (F.col("size") + F.col("size2") - most)) & (F.lit(PART) * F.least("size", "size2") >= F.lit(threshold) * F.greatest("size", "size2"))
     pairs = one.hint("merge").join(other, ["cluster", "s", "_b"]).where((F.col("part") != F.col("part2")) & possible)
     # Pairs are compared in tiles: one block of the cluster with another.
-    tiles = F.ceil(F.col("_all") / (BLOCK // 2))
-    tile = lambda c: F.pmod(F.xxhash64(c), tiles)
-    pairs = pairs.join(F.broadcast(split.select("cluster", "_all")), "cluster").withColumns({"_t": tile("node"), "_t2": tile("node2")})
-    g = F.concat_ws(":", F.lit("r"), "cluster", F.least("_t", "_t2"), F.greatest("_t", "_t2"))
+    tile, tile2 = F.pmod(F.xxhash64("node"), F.col("tiles")), F.pmod(F.xxhash64("node2"), F.col("tiles"))
+    g = F.concat_ws(":", F.lit("r"), "cluster", F.least(tile, tile2), F.greatest(tile, tile2))
     return pairs.select(g.alias("g"), F.explode(F.array("node", "node2")).alias("node")).distinct()
 
 
@@ -375,7 +393,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
     coarse = materialize(order.mapInArrow(partial(_forest, of=threshold), "a long, b long").distinct(), "coarse")
     clusters = components(coarse)
     # Exact links within the clusters.
-    groups, huge = _dealt(clusters, same.withColumnRenamed("rep", "doc_id"))
+    groups, big = _dealt(clusters, coarse)
     # A repeated id stands once; its rows may differ, and each goes with its own set's representative.
     named = texts.withColumnRenamed("doc_id", "node")
 
@@ -385,7 +403,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
 
     links = confirmed(groups)
     found = components(links)
-    if huge is not None and (rest := _rest(huge, found, named, threshold)) is not None:
+    if big is not None and (rest := _rest(big, found, named, threshold)) is not None:
         found = components(links.union(confirmed(rest)))
     lasting = same.select("digest", "n_shingles", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.col("n_shingles").alias("_n"), F.least("rep", F.coalesce("component", "rep")).alias("_c"))
     # Only sets that aren't alone are looked up; the rest are their own component.

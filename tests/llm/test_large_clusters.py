@@ -39,12 +39,57 @@ def brute(rows, part=100, of=85):
     return {d: find(d) for d in sets}
 
 
-def test_pairs_of_a_large_cluster_are_all_found(spark, monkeypatch):
+def brute_fast(rows):
+    """The same by counting common shingles of all pairs."""
+    from collections import Counter, defaultdict
+
+    sets, where = {d: shingle_set(t).tolist() for d, t in rows}, defaultdict(list)
+    for d, s in sets.items():
+        for x in s:
+            where[x].append(d)
+    parent = {d: d for d in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    everywhere = sum(len(ds) == len(sets) for ds in where.values())
+    common = Counter((a, b) for ds in where.values() if len(ds) < len(sets) for i, a in enumerate(ds) for b in ds[i + 1 :])
+    for (a, b), n in common.items():
+        if 100 * (n + everywhere) >= 85 * (len(sets[a]) + len(sets[b]) - n - everywhere):
+            x, y = find(a), find(b)
+            parent[max(x, y)] = min(x, y)
+    return {d: find(d) for d in sets}
+
+
+def test_pairs_of_a_large_cluster_are_all_found(spark):
     rows = template_texts(700, 60)
     wanted = brute(rows)
     assert sum(c != d for d, c in wanted.items()) == 60
-    monkeypatch.setattr(minhash, "WHOLE", 300)
-    monkeypatch.setattr(minhash, "ORDERS", 1)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()}
     assert got == wanted
+
+
+def test_ten_thousand_different_texts_of_one_template(spark):
+    rows = template_texts(9000, 1000)
+    wanted = brute_fast(rows)
+    assert sum(c != d for d, c in wanted.items()) == 1000
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()}
+    assert got == wanted
+
+
+def test_pairs_in_a_crowded_prefix_that_isnt_one_cluster():
+    """Sketches that agree by half: too little to be alike, enough to share prefixes; pairs among them are joined."""
+    import numpy as np
+
+    rng, n, pairs = np.random.default_rng(3), 20_000, 2000
+    shared = rng.integers(0, 256, minhash.SKETCH, dtype=np.uint8)
+    sketches = np.where(rng.random((n, minhash.SKETCH)) < 0.5, shared, rng.integers(0, 256, (n, minhash.SKETCH), dtype=np.uint8))
+    twins = np.where(rng.random((pairs, minhash.SKETCH)) < 0.85, sketches[:pairs], rng.integers(0, 256, (pairs, minhash.SKETCH), dtype=np.uint8))
+    every, est = np.concatenate([sketches, twins]).astype(np.uint8), minhash.least_alike(85)
+    alike = int(((every[:pairs] == twins).sum(axis=1) >= est).sum())
+    found = {tuple(sorted(e)) for seed in range(minhash.TREES) for e in minhash._crowded(every, est, seed)}
+    assert sum((k, n + k) in found for k in range(pairs)) >= 0.99 * alike
