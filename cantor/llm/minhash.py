@@ -177,11 +177,15 @@ def _pairs_of_region(sketches: np.ndarray, est: int, seed: int) -> list[tuple[in
 
 
 def _forest(batches: Iterator[pa.RecordBatch], of: int) -> Iterator[pa.RecordBatch]:
-    """Batches sorted by tree and key: key binary (the tree first), sketch binary, doc_id long. Result: pairs (hub, member)."""
+    """Batches sorted by tree and key: key binary (the tree first), sketch binary, doc_id long.
+
+    Result: pairs that look alike and join something new in this task (alike, as hub and member), and what was joined, as pairs of a
+    group's smallest id and the id that stood for a part of it until then (not alike).
+    """
     width, least, est = 1 + DEPTH, least_prefix(of), least_alike(of)
     held: list[np.ndarray] = []
     parent: dict[int, int] = {}
-    sent: list[tuple[int, int]] = []
+    sent: list[tuple[int, int, bool]] = []
 
     def root(x: int) -> int:
         while parent.setdefault(x, x) != x:
@@ -192,20 +196,22 @@ def _forest(batches: Iterator[pa.RecordBatch], of: int) -> Iterator[pa.RecordBat
     def flush(rows: list[np.ndarray]):
         if sum(map(len, rows)) > 1:
             m = np.concatenate(rows)
-            # Only pairs that join what this task hasn't joined yet.
+            was = set()
             for i, j in _pairs_of_region(m["sketch"], est, int(m["key"][0, 0])):
                 x, y = int(m["id"][i]), int(m["id"][j])
                 a, b = root(x), root(y)
                 if a != b:
                     parent[max(a, b)] = min(a, b)
-                    sent.append((x, y))
+                    was |= {a, b}
+                    sent.append((x, y, True))
+            sent.extend((now, old, False) for old in was if (now := root(old)) != old)
             if len(parent) > KNOWN:
                 parent.clear()
 
     def out():
-        pairs = np.array(sent, np.int64).reshape(-1, 2)
+        pairs = np.array(sent, np.int64).reshape(-1, 3)
         sent.clear()
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(pairs[:, 2] > 0)], names=["a", "b", "alike"])
 
     kind = np.dtype([("id", np.int64), ("key", np.uint8, (width,)), ("sketch", np.uint8, (SKETCH,))])
     last = None
@@ -285,19 +291,24 @@ def _confirm(batches: Iterator[pa.RecordBatch], of: int) -> Iterator[pa.RecordBa
     yield links()
 
 
-def _dealt(clusters: DataFrame, coarse: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """g, node: the groups whose documents are compared first; and component, node of the clusters over BLOCK."""
+def _dealt(clusters: DataFrame, alike: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """g, node: the groups whose documents are compared first; and component, node of the clusters over BLOCK.
+
+    Of a large cluster each document goes with the hub, of those it was found alike with, that was found alike most often.
+    """
     sizes = materialize(clusters.groupBy("component").agg(F.count("*").alias("n")).where(f"n > {BLOCK}"), "sizes")
     named = clusters.join(sizes, "component", "left")
     small = named.where("n is null").select(F.concat_ws(":", F.lit("c"), "component").alias("g"), "node")
     if not sizes.limit(1).count():
         return small, None
     big = materialize(named.where("n is not null").select("component", "node"), "big")
-    # A hub with its members, at most BLOCK at a time.
-    stars = coarse.join(big.select(F.col("node").alias("a")), "a")
-    degrees = stars.groupBy("a").agg(F.ceil(F.count("*") / (BLOCK // 2)).cast("int").alias("_k"))
-    parts = materialize(stars.join(degrees, "a").withColumn("g", F.concat_ws(":", F.lit("h"), "a", F.pmod(F.xxhash64("b"), F.col("_k")))).select("g", "a", "b"), "stars")
-    return small.union(parts.select("g", F.col("b").alias("node"))).union(parts.select("g", F.col("a").alias("node")).distinct()), big
+    seen = materialize(alike.groupBy("a", "b").agg(F.count("*").alias("k")).join(big.select(F.col("node").alias("a")), "a"), "alike")
+    degrees = seen.groupBy("a").agg(F.sum("k").alias("_d"))
+    best = seen.join(degrees, "a").groupBy("b").agg(F.max_by("a", F.struct("_d", "a")).alias("a"))
+    per = best.groupBy("a").agg(F.ceil(F.count("*") / (BLOCK // 2)).cast("int").alias("_k"))
+    # A hub with its members, at most about BLOCK at a time.
+    stars = materialize(best.join(per, "a").withColumn("g", F.concat_ws(":", F.lit("h"), "a", F.pmod(F.xxhash64("b"), F.col("_k")))).select("g", "a", "b"), "stars")
+    return small.union(stars.select("g", F.col("b").alias("node"))).union(stars.select("g", F.col("a").alias("node")).distinct()), big
 
 
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -390,10 +401,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
     )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = rows.repartitionByRange(parts, "key", "doc_id").sortWithinPartitions("key", "doc_id")
-    coarse = materialize(order.mapInArrow(partial(_forest, of=threshold), "a long, b long").distinct(), "coarse")
-    clusters = components(coarse)
+    coarse = materialize(order.mapInArrow(partial(_forest, of=threshold), "a long, b long, alike boolean"), "coarse")
+    clusters = components(coarse.where("not alike").select("a", "b").distinct())
     # Exact links within the clusters.
-    groups, big = _dealt(clusters, coarse)
+    groups, big = _dealt(clusters, coarse.where("alike").select("a", "b"))
     # A repeated id stands once; its rows may differ, and each goes with its own set's representative.
     named = texts.withColumnRenamed("doc_id", "node")
 
