@@ -1,18 +1,20 @@
 """Approximate nearest neighbours: an inverted file with product-quantised residuals and exact reranking.
 
 Fit: coarse centroids (about LISTS * sqrt(n) of them) and, for the residuals, PARTS codebooks of 256 entries, by k-means on
-the SAMPLE rows with the smallest hash of their id (documented bound; every row is indexed). Index: each row's list
+the rows with the smallest hash of their id: PER_LIST of them for each centroid, SAMPLE at least and MOST at most, so that there are at
+most MOST / PER_LIST centroids (documented bounds; every row is indexed). Index: each row's list
 and code, written. Lists are put into shards of at most SHARD rows; a list that is larger is dealt over several by
 the id's hash, so a very common vector doesn't land in one task. Search: a query goes to the shards of its best lists (as
-many as reach TARGET recall on the sample: few for clustered vectors, most for evenly spread ones), in blocks of QUERIES; a shard adds up distance tables (asymmetric: the query isn't quantised) and
+many as reach TARGET recall on the sample: few for clustered vectors, most for evenly spread ones; and as many as hold
+twice the rows asked for, so that no query comes back short), in blocks of QUERIES; a shard adds up distance tables (asymmetric: the query isn't quantised) and
 returns its NEAR best, ties to smaller ids. The RERANK best of a query are scored on the original vectors in
 double precision.
 
 Recall against brute force is measured in the tests and given in the README.
 
-Defined results: vectors that are null, zero, hold a null or non-finite component, or differ from the most common
-length take no part. Rows with a null id take none either. Repeated ids are candidates once each. Ties go to the
-smaller id. An empty table gives an empty result. Other columns are never read.
+Defined results: vectors that are null, zero, or hold a null or non-finite component take no part; shorter vectors are as
+if they ended in zeros. Rows with a null id take no part either. Repeated ids are candidates once each: of the rows of one id the
+nearest counts, and as a query each of them asks. Ties go to the smaller id. An empty table gives an empty result. Other columns are never read.
 """
 
 from __future__ import annotations
@@ -28,7 +30,8 @@ from pyspark.sql import functions as F
 
 from ._common import materialize
 
-SAMPLE, LISTS, PARTS, CODES = 20_000, 2.0, 16, 256
+SAMPLE, MOST, PER_LIST = 20_000, 200_000, 40
+LISTS, PARTS, CODES = 2.0, 16, 256
 SHARD, QUERIES, NEAR, RERANK = 2048, 1024, 50, 200
 #: Lists are probed until so many of the true neighbours of TRIED sample rows, within the sample, lie in them.
 TARGET, TRIED = 0.97, 256
@@ -41,8 +44,8 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     rows = vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v")).where("vec_id is not null and v is not null")
     rows = rows.where(~F.exists("v", bad) & F.exists("v", lambda x: x != 0))
-    top = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    return rows.where(F.size("v") == (top["d"] if top else 0))
+    longest = rows.agg(F.max(F.size("v"))).first()[0] or 0
+    return rows.withColumn("v", F.when(F.size("v") < longest, F.concat("v", F.array_repeat(F.lit(0.0), F.lit(longest) - F.size("v")))).otherwise(F.col("v")))
 
 
 def _means(x: np.ndarray, k: int, rounds: int, rng: np.random.Generator) -> np.ndarray:
@@ -99,7 +102,9 @@ def probes_for(x: np.ndarray, model: Quantiser, k: int, target: float = TARGET)
     q = x[np.random.default_rng(2).permutation(len(x))[:TRIED]]
     own = _nearest(x, model.centroids)
     place = np.argsort(np.argsort(-(q @ model.centroids.T), axis=1, kind="stable"), axis=1)
-    top = np.argsort(-(q @ x.T), axis=1)[:, 1 : k + 1]
+    near = q @ x.T
+    near[(q[:, None, :1] == x[None, :, :1])[:, :, 0] & (near >= (q * q).sum(1)[:, None] * (1 - 1e-6))] = -np.inf  # the row itself
+    top = np.argsort(-near, axis=1)[:, :k]
     needed = np.sort(np.take_along_axis(place, own[top], axis=1).ravel())
     return int(needed[min(len(needed) - 1, math.ceil(target * len(needed)))]) + 1 if len(needed) else 1
 
@@ -109,18 +114,23 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1).astype(np.float32)
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vector: str = "embedding", sample: int = SAMPLE, probes: int | None = None) -> DataFrame:
-    """The k nearest by inner product found for each row where is_query (a condition on vec_id) holds."""
+def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vector: str = "embedding", sample: int = SAMPLE, probes: int | None = None, lists: int | None = None) -> DataFrame:
+    """The k nearest by inner product found for each row where is_query (a condition on vec_id) holds.
+
+    lists, probes: how many lists there are and how many a query searches, where they aren't to be found from the data.
+    """
     spark = vectors.sparkSession
     rows = usable(vectors, key, vector)
     total = rows.count()
     if not total:
         return spark.range(0).select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score"))
+    lists = lists or max(1, min(round(LISTS * math.sqrt(total)), MOST // PER_LIST))
+    sample = max(sample, min(MOST, PER_LIST * lists))
     hashed = rows.withColumn("h", F.md5(F.col("vec_id").cast("string")))
     if total > 2 * sample:
         hashed = hashed.where(F.col("h") < f"{min(0xFFFFFFFF, int(1.5 * sample / total * 2**32)):08x}")
     learnt = hashed.orderBy("h").limit(sample).select("v").toArrow().column(0).combine_chunks()
-    model = Quantiser(_matrix(learnt), max(1, round(LISTS * math.sqrt(total))))
+    model = Quantiser(_matrix(learnt), lists)
     probes = probes or probes_for(_matrix(learnt), model, k)
     shared = spark.sparkContext.broadcast(model)
 
@@ -144,24 +154,28 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id
             shard, room = shard + n, SHARD
         else:
             room -= sizes[own]
-    plan = spark.sparkContext.broadcast((first, width, probes))
+    plan = spark.sparkContext.broadcast((first, width, sizes, probes))
+    # Per shard and in all, so many candidates go on; a query looks into lists with so many rows at least.
+    near_most, rerank, least = max(NEAR, 2 * k), max(RERANK, 4 * k), 2 * (k + 1)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row per query and shard: the query with the lists it wants there."""
-        first, width, probes = plan.value
+        first, width, sizes, probes = plan.value
         centroids = shared.value.centroids
         held = np.array([x in first for x in range(len(centroids))])
+        rows_of = np.array([sizes.get(x, 0) for x in range(len(centroids))])
         for b in batches:
             if not b.num_rows:
                 continue
             q = _matrix(b.column(1))
             near = q @ centroids.T
             near[:, ~held] = -np.inf
-            best = np.argsort(-near, axis=1, kind="stable")[:, : min(probes, int(held.sum()))]
+            best = np.argsort(-near, axis=1, kind="stable")[:, : int(held.sum())]
+            enough = np.maximum(probes, 1 + (np.cumsum(rows_of[best], axis=1) < least).sum(axis=1))
             out = ([], [], [], [])
             for i, query in enumerate(b.column(0).to_pylist()):
                 wanted: dict[int, list[int]] = {}
-                for own in best[i].tolist():
+                for own in best[i, : enough[i]].tolist():
                     for s in range(first[own], first[own] + width[own]):
                         wanted.setdefault(s, []).append(own)
                 raw = q[i].tobytes()
@@ -173,14 +187,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id
     routed = materialize(rows.where(is_query).select("vec_id", "v").mapInArrow(route, "shard int, query_id long, q binary, lists array<int>"), "routed")
     places = spark.createDataFrame([(x, first[x], width[x]) for x in first], "list int, _first int, _width int")
     placed = index.join(F.broadcast(places), "list").withColumn("shard", (F.col("_first") + F.pmod(F.xxhash64("vec_id"), F.col("_width"))).cast("int")).drop("_first", "_width")
-    # Blocks of queries per shard: the shard's rows go to each of its blocks. A row per shard is bounded by the lists.
+    # Blocks of queries per shard: the shard's rows go to each of its blocks.
     blocks = materialize(routed.groupBy("shard").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("_blocks")), "blocks")
-    asked = routed.join(F.broadcast(blocks), "shard").withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("_blocks")).cast("int")).drop("_blocks")
-    kept = placed.join(F.broadcast(blocks), "shard").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).drop("_blocks")
+    asked = routed.join(blocks, "shard").withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("_blocks")).cast("int")).drop("_blocks")
+    kept = placed.join(blocks, "shard").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).drop("_blocks")
 
     def near(asked: pd.DataFrame, kept: pd.DataFrame) -> pd.DataFrame:
         model: Quantiser = shared.value
-        kept = kept.sort_values(["list", "vec_id"], kind="stable")
+        kept = kept.sort_values(["list", "vec_id"], kind="stable").drop_duplicates(["list", "vec_id", "code"])
         lists, ids = kept["list"].to_numpy(), kept["vec_id"].to_numpy()
         codes = np.frombuffer(b"".join(kept["code"]), np.uint8).reshape(len(kept), -1).astype(np.int64) + np.arange(len(model.books)) * CODES
         queries, found, scores = [], [], []
@@ -192,10 +206,10 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id
             if not len(at):
                 continue
             score = model.tables(q).ravel()[codes[at]].sum(1) + (model.centroids @ q)[lists[at]]
-            if len(at) > 4 * NEAR:  # all that may be among the best, ties included
-                some = np.flatnonzero(score >= np.partition(score, len(score) - NEAR)[len(score) - NEAR])
+            if len(at) > 4 * near_most:  # all that may be among the best, ties included
+                some = np.flatnonzero(score >= np.partition(score, len(score) - near_most)[len(score) - near_most])
                 at, score = at[some], score[some]
-            best = np.lexsort((ids[at], -score))[:NEAR]
+            best = np.lexsort((ids[at], -score))[:near_most]
             queries += [query] * len(best)
             found.append(ids[at][best])
             scores.append(score[best])
@@ -206,8 +220,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id
     met = asked.groupBy("shard", "block").cogroup(kept.groupBy("shard", "block")).applyInPandas(near, "query_id long, vec_id long, near float")
     order = Window.partitionBy("query_id").orderBy(F.desc("near"), "vec_id")
     # Written, so that the joins below deal plain rows: an id wanted by many queries can be split.
-    chosen = materialize(met.withColumn("_r", F.row_number().over(order)).where(f"_r <= {max(RERANK, k)}").select("query_id", "vec_id"), "candidates")
+    chosen = materialize(met.withColumn("_r", F.row_number().over(order)).where(f"_r <= {rerank}").select("query_id", "vec_id").distinct(), "candidates")
     pairs = chosen.join(rows, "vec_id").select("query_id", "vec_id", "v").join(rows.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")), "query_id")
     dot = F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
     exact = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return pairs.select("query_id", "vec_id", dot.alias("score")).distinct().withColumn("rank", F.row_number().over(exact)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return pairs.groupBy("query_id", "vec_id").agg(F.max(dot).alias("score")).withColumn("rank", F.row_number().over(exact)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
