@@ -9,8 +9,8 @@ Loopy sum-product messages, damped, carry the evidence; nodes under base spans a
 Nodes whose marginal for a kind reaches SURE are added as spans, where they touch no base span.
 
 Learning: feature and transition weights by an averaged perceptron with Viterbi decoding, the skip weight by
-the smoothed log odds that like tokens agree; on at most SAMPLE texts with a digit or '@', the ones with the
-smallest hash of their id, labelled by the patterns. The model is a few hundred numbers and is broadcast.
+the smoothed log odds that like tokens agree; on at most SAMPLE texts of up to SAMPLE_CHARS characters with a digit or
+'@', the ones with the smallest hash of their id, labelled by the patterns. The model is a few hundred numbers and is broadcast.
 
 Defined results: null and empty texts have no span. Repeated rows get equal results. Offsets are code points, end
 exclusive. An empty table gives an empty result, and an untrained field adds nothing. Columns of the input are
@@ -25,6 +25,7 @@ import random
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +38,11 @@ KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", "email", "ip", "B-card", "I-card", "B-phone", "I-phone")
 #: Of each label: its kind, as a number from 0, or -1.
 KIND_OF = np.array([-1, 0, 1, 2, 2, 3, 3])
-SAMPLE, EPOCHS = 3000, 4
+SAMPLE, SAMPLE_CHARS, EPOCHS = 3000, 20_000, 4
 SURE = 0.9
 ROUNDS, DAMPING = 12, 0.5
 HELD = 25.0
-#: A token longer than this is no node; nothing of the four kinds is.
+#: A token longer than this is cut at characters that no kind has; what is longer still is no node, as nothing that patterns miss is.
 LONGEST = 100
 #: Tokens that end in so many equal digits are alike.
 TAIL = 8
@@ -58,6 +59,7 @@ _AREA = re.compile(r"\([0-9]{2,4}\)")
 _LOCAL_NUMBER = re.compile(r"[0-9]{3}-[0-9]{4}")
 _FULL_NUMBER = re.compile(r"[0-9]{3}[-.][0-9]{3}[-.][0-9]{4}")
 _EDGE = " \t\n\r\x0b\x0c"
+_PART = re.compile(r"[A-Za-z0-9@._%+()-]+")
 
 
 def luhn(digits: str) -> bool:
@@ -111,16 +113,22 @@ def nodes(text: str) -> list[tuple[int, int]]:
         while end < high and text[end] not in _EDGE:
             end += 1
         if end - start > LONGEST:
+            # From the end of the node before; a long token's parts are short, so their sum is the text.
+            first = start
+            while first > (out[-1][1] if out else 0) and text[first - 1] not in _EDGE:
+                first -= 1
             while end < len(text) and text[end] not in _EDGE:
                 end += 1
-            continue
-        a, b = start, end
-        while b > a and not (text[b - 1].isalnum() or text[b - 1] == ")"):
-            b -= 1
-        while a < b and not (text[a].isalnum() or text[a] in "+("):
-            a += 1
-        if a < b:
-            out.append((a, b))
+            parts = [(first + p.start(), first + p.end()) for p in _PART.finditer(text[first:end]) if len(p[0]) <= LONGEST and _MARK.search(p[0])]
+        else:
+            parts = [(start, end)]
+        for a, b in parts:
+            while b > a and not (text[b - 1].isalnum() or text[b - 1] == ")"):
+                b -= 1
+            while a < b and not (text[a].isalnum() or text[a] in "+("):
+                a += 1
+            if a < b:
+                out.append((a, b))
     return out
 
 
@@ -291,7 +299,7 @@ class Field:
             last[key] = i
         p = self.marginals(unary, edges, np.array(sorted(skips), int).reshape(-1, 2))
         by_kind = np.stack([p[:, KIND_OF == k].sum(axis=1) for k in range(len(KINDS))], 1)
-        taken = sorted((a, b) for _, a, b in base)
+        taken = _ends_by_start(base)
         out: list[tuple[int, int, int]] = []
         for a, b in runs:
             for i in range(a, b):
@@ -304,12 +312,19 @@ class Field:
                     out[-1] = (kind, out[-1][1], end)
                 else:
                     out.append((kind, start, end))
-        return [s for s in out if not _touches(taken, s[1], s[2])]
+        return [s for s in out if not _touches(*taken, s[1], s[2])]
+
+
+def _ends_by_start(base: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts in order, and the furthest end of the spans up to each."""
+    ordered = sorted((a, b) for _, a, b in base)
+    return [a for a, _ in ordered], list(accumulate((b for _, b in ordered), max))
 
 
-def _touches(taken: list[tuple[int, int]], a: int, b: int) -> bool:
-    i = bisect_left(taken, (b, -1))
-    return any(y > a for _, y in taken[max(0, i - 8) : i])
+def _touches(starts: list[int], ends: list[int], a: int, b: int) -> bool:
+    """Whether some span overlaps [a, b)."""
+    i = bisect_left(starts, b)
+    return i > 0 and ends[i - 1] > a
 
 
 def _runs(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -340,8 +355,8 @@ def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Field:
-    usable = docs.where(F.col(text).rlike("[0-9@]")).select(F.col(text).alias("t"), F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("h"))
-    total = docs.count()
+    usable = docs.where(F.col(text).rlike("[0-9@]") & (F.length(text) <= SAMPLE_CHARS)).select(F.col(text).alias("t"), F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("h"))
+    total = usable.count()
     bound = max(1, min(0xFFFFFFFF, int(8 * sample / max(1, total) * 2**32)))
     few = usable.where(F.col("h") < f"{bound:08x}") if total > 8 * sample else usable
     return Field().fit([r["t"] for r in few.orderBy("h", "t").limit(sample).collect()])
