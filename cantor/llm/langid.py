@@ -5,9 +5,9 @@ character n-grams: the longest grams first, falling back to shorter ones whereve
 of one character unknown to all languages says nothing. A text's score is the sum over its words; the result is
 the best language and its probability under equal priors, tempered by the number of words.
 
-The model is fitted on a bounded sample: the SAMPLE labelled rows with the smallest hash of their id, of which WORDS
-words and GRAMS grams per language are kept (all three are parameters; so is which rows may be learnt from). The
-model, of that bounded size, is broadcast. Prediction reads every whole text in one pass without a shuffle.
+The model is fitted on a bounded sample: the SAMPLE labelled rows of up to SAMPLE_CHARS characters with the smallest hash
+of their id, of which the WORDS most frequent words and GRAMS most frequent grams per language are kept, those seen once
+in a language left out (parameters; so is which rows may be learnt from). The model, of that bounded size, is broadcast. Prediction reads every whole text in one pass without a shuffle.
 
 Defined results: null texts and texts without a letter are 'und' with score 0. Ties go to the first language by name.
 Repeated rows get equal results. Rows with a null label are predicted but not learnt from. With no labelled row at
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ._common import short_batches
 
 UNKNOWN = "und"
-SAMPLE, WORDS, GRAMS = 4000, 20_000, 30_000
+SAMPLE, SAMPLE_CHARS, WORDS, GRAMS = 4000, 20_000, 20_000, 30_000
 LONGEST = 4
 SMOOTH = 0.5
 CACHE = 300_000
@@ -143,7 +143,7 @@ class Model:
 
 def fit(docs: DataFrame, learnt: Column, key: str = "doc_id", text: str = "text", label: str = "lang", sample: int = SAMPLE, **sizes) -> Model:
     """The model of at most `sample` rows: of those where `learnt` holds, the ones with the smallest hash of the id."""
-    usable = docs.where(learnt & F.col(text).isNotNull() & F.col(label).isNotNull())
+    usable = docs.where(learnt & F.col(text).isNotNull() & F.col(label).isNotNull() & (F.length(text) <= SAMPLE_CHARS))
     ranked = usable.select(F.col(text).alias("t"), F.col(label).alias("l"), F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("h"))
     # The hash's bound keeps texts of rows that can't be chosen out of the sort.
     total = usable.select(F.count("*")).first()[0]
