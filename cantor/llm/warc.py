@@ -2,7 +2,8 @@
 
 Writing: each page is a record, its payload the page's text in UTF-8. Of records with equal payloads the one with the
 largest id is a response, the others are revisits that name it. Archives are gzip files with a member per
-record, rolled at ROLL bytes, written straight to the shared folder: under a name of the attempt's own, listed only
+record, rolled at ROLL bytes. A payload is read in slices of CHUNK bytes from the Arrow batch it came in, for its digest and
+for its member, and never copied whole. Archives are written straight to the shared folder: under a name of the attempt's own, listed only
 by the rows of the attempt that succeeds.
 
 Reading: an archive is a stream. A record's header is parsed, its payload comes as rows of (record, chunk number,
@@ -47,16 +48,18 @@ def _urn(page_id) -> str:
     return f"<urn:page:{'null' if page_id is None else page_id}>"
 
 
-def _record(page_id, url: str | None, payload: bytes, refers_to, revisit: bool) -> Iterator[bytes]:
+def _record(page_id, url: str | None, payload: memoryview, refers_to, revisit: bool) -> Iterator[bytes | memoryview]:
     """The bytes of a record, payload in slices."""
-    body = b"" if revisit else payload
+    body, digest = payload[:0] if revisit else payload, hashlib.sha1()
+    for k in range(0, len(payload), CHUNK):
+        digest.update(payload[k : k + CHUNK])
     head = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
         f"WARC-Record-ID: {_urn(page_id)}",
         f"WARC-Date: {DATE}",
         f"WARC-Target-URI: {quote(url, safe=':/?#[]@!$&()*+,;=%~') if url else 'urn:none'}",
-        f"WARC-Payload-Digest: sha1:{base32(hashlib.sha1(payload).digest())}",
+        f"WARC-Payload-Digest: sha1:{base32(digest.digest())}",
         f"X-Payload-Bytes: {len(payload)}",
     ]
     if revisit:
@@ -87,7 +90,7 @@ def _written(root: str):
                     fs.create_dir(base, recursive=True)
                     name, size, records = f"part-{task:05d}-{len(done):03d}-{attempt}.warc.gz", 0, 0
                     out = fs.open_output_stream(f"{base}/{name}", compression=None)
-                payload = (html.as_py() or "").encode("utf-8", "surrogatepass")
+                payload = memoryview(html.as_buffer() if html.is_valid else b"").cast("B")
                 z = zlib.compressobj(4, zlib.DEFLATED, 31)
                 for piece in _record(page_id, url, payload, winner, winner is not None and winner != page_id):
                     size += out.write(got) if (got := z.compress(piece)) else 0
