@@ -14,6 +14,8 @@ table gives an empty result. Only key and text are read, so clashing names can't
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +41,16 @@ SENTENCES = {
     "bsd-source": "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
     "bsd-name": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
     "isc-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "mpl-terms": "this source code form is subject to the terms of the mozilla public license v 2 0",
+    "lgpl-free": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "agpl-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "gpl2-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    "unlicense": "this is free and unencumbered software released into the public domain",
+    "zlib-permit": "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+    "boost": "distributed under the boost software license version 1 0",
+    "epl": "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0",
+    "by-nd-short": "licensed under cc by nd 4 0",
+    "by-nc-sa-short": "licensed under cc by nc sa 4 0",
     "rights": "all rights reserved",
 }
 #: Ordered rules: licence, identifiers in order.
@@ -49,12 +61,22 @@ RULES = (
     ("MIT", ("mit-short",)),
     ("MIT", ("mit-short-2",)),
     ("GPL-3.0-or-later", ("gpl-free", "gpl-hope")),
+    ("GPL-2.0-or-later", ("gpl2-free", "gpl-hope")),
+    ("AGPL-3.0-or-later", ("agpl-free",)),
+    ("LGPL-2.1-or-later", ("lgpl-free",)),
+    ("MPL-2.0", ("mpl-terms",)),
+    ("EPL-2.0", ("epl",)),
+    ("BSL-1.0", ("boost",)),
+    ("Zlib", ("zlib-permit",)),
+    ("Unlicense", ("unlicense",)),
     ("GPL-3.0-only", ("gpl3-short",)),
     ("GPL-2.0-only", ("gpl2-short",)),
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-name")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source")),
     ("ISC", ("isc-grant",)),
     ("CC-BY-NC-4.0", ("by-nc-short",)),
+    ("CC-BY-NC-SA-4.0", ("by-nc-sa-short",)),
+    ("CC-BY-ND-4.0", ("by-nd-short",)),
     ("CC-BY-SA-4.0", ("by-sa-short",)),
     ("CC-BY-4.0", ("by-short",)),
     ("CC0-1.0", ("cc0-short",)),
@@ -65,10 +87,13 @@ WRAP = "\n([a-z])"
 #: A sentence ends at a line's end, or at . ! ? : ; before white space or a double quote.
 END = '[.!?:;]+["\\x20\\x09\\x0B-\\x0D]|[.!?:;]*\\n'
 JUNK = "[^a-z0-9]+"
-#: Each known sentence has one of these.
+#: Each bundled sentence has one of these.
 HINT = "(?i)licen|permi|copyright|redistrib|warrant|rights|compliance"
-#: Known sentences from cut to cut, any cuts between their words; longer ones are tried first.
-KNOWN = "(?<=\\|)(?:" + "|".join(v.replace(" ", "[ |]") for v in sorted(SENTENCES.values(), key=len, reverse=True)) + ")(?=\\|)"
+
+
+def known_pattern(sentences: dict[str, str]) -> str:
+    """Known sentences from cut to cut, any cuts between their words; longer ones are tried first."""
+    return "(?<=\\|)(?:" + "|".join(v.replace(" ", "[ |]") for v in sorted(sentences.values(), key=len, reverse=True)) + ")(?=\\|)"
 
 
 def normalised(sentence: Column) -> Column:
@@ -76,17 +101,23 @@ def normalised(sentence: Column) -> Column:
     return F.btrim(F.regexp_replace(F.lower(sentence), JUNK, " "), F.lit(" "))
 
 
-def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_sentences, sentence_ids (in order, comma-joined), license_ids (by rule order), license."""
-    known = F.create_map(*[x for k, v in SENTENCES.items() for x in (F.lit(v), F.lit(k))])
+def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", sentences: dict[str, str] = SENTENCES, rules: Sequence[tuple[str, tuple[str, ...]]] = RULES, hint: str | None = HINT) -> DataFrame:
+    """doc_id, n_sentences, sentence_ids (in order, comma-joined), license_ids (by rule order), license.
+
+    sentences: normalised known sentences by identifier; rules: licences and identifiers in order, the most telling rule first; hint: a
+    pattern that some sentence of any text with a known sentence matches, None to try all texts. They are literals of the plan, meant for
+    tables of up to some thousands of entries.
+    """
+    known = F.create_map(*[x for k, v in sentences.items() for x in (F.lit(v), F.lit(k))])
     cut = docs.select(F.col(key).alias("doc_id"), F.filter(F.split(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), WRAP, " $1"), END), lambda s: F.btrim(s, F.lit(" \t")) != "").alias("_s"))
     # Only texts with a hint are normalised: as |sentence|sentence|, without those that have no letter or digit.
     pieces = F.filter(F.transform("_s", normalised), lambda s: s != "")
-    marked = F.when(F.exists("_s", lambda s: s.rlike(HINT)), F.concat(F.lit("|"), F.array_join(pieces, "|"), F.lit("|"))).otherwise("")
-    hit = F.transform(F.regexp_extract_all(marked, F.lit(KNOWN), 0), lambda m: F.try_element_at(known, F.translate(m, "|", " ")))
+    told = F.exists("_s", lambda s: s.rlike(hint)) if hint else F.lit(True)
+    marked = F.when(told, F.concat(F.lit("|"), F.array_join(pieces, "|"), F.lit("|"))).otherwise("")
+    hit = F.transform(F.regexp_extract_all(marked, F.lit(known_pattern(sentences)), 0), lambda m: F.try_element_at(known, F.translate(m, "|", " ")))
     rows = cut.withColumn("_k", hit)
     line = F.concat(F.lit(","), F.array_join("_k", ",,"), F.lit(","))
     found = rows.select("doc_id", F.size("_s").cast("long").alias("n_sentences"), F.array_join("_k", ",").alias("sentence_ids"), line.alias("_line"))
-    hits = [F.when(F.col("_line").like("%," + ",%,".join(ids) + ",%"), F.lit(name)) for name, ids in RULES]
+    hits = [F.when(F.col("_line").like("%," + ",%,".join(ids) + ",%"), F.lit(name)) for name, ids in rules]
     names = F.array_distinct(F.array_compact(F.array(*hits)))
     return found.withColumn("_n", F.when(F.col("_line") == ",,", F.array().cast("array<string>")).otherwise(names)).select("doc_id", "n_sentences", "sentence_ids", F.array_join("_n", ",").alias("license_ids"), F.get("_n", F.lit(0)).alias("license"))
