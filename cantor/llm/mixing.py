@@ -1,8 +1,8 @@
 """Mixing sources to target weights by Poisson replication.
 
 Each source gets a mean repetition rate: target weight times the wanted size over the size there is. A uniform
-number from a hash of seed and document id is put through the inverse Poisson distribution of that mean; the
-document is exploded by the count, and the copies are dealt over all partitions by a hash and sorted by it.
+number from a hash of seed and document id is put through the inverse Poisson distribution of that mean (a mean over
+MOST_MEAN is the sum of equal smaller ones, each with a number of its own, which is Poisson again); the document is exploded by the count, and the copies are dealt over all partitions by a hash and sorted by it.
 
 Native: only DataFrame functions. The rate table has a row per source. Up to MAX_BROADCAST sources it is
 broadcast; beyond that it is joined by shuffle, where adaptive execution splits a hot source.
@@ -23,7 +23,7 @@ SEED = 17
 MAX_BROADCAST = 10_000
 #: Rates are kept in millionths, so that every engine sees the same numbers.
 UNIT = 1_000_000
-#: A mean above this is split into equal whole copies and a Poisson rest, as exp(-mean) runs out of digits.
+#: The largest mean of one draw, as exp(-mean) runs out of digits.
 MOST_MEAN = 30
 
 
@@ -44,18 +44,18 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, budget: floa
     else:
         pairs = [x for k, v in weights.items() for x in (F.lit(k), F.lit(float(v)))]
         wanted = F.coalesce(F.create_map(*pairs)[F.col("_source")], F.lit(0.0)) if pairs else F.lit(0.0)
-    sizes = materialize(sizes.withColumn("_wanted", wanted).coalesce(1), "sources")  # a row per source; read twice
+    sizes = materialize(sizes.withColumn("_wanted", wanted), "sources")  # a row per source; read twice
     total = sizes.agg(F.sum("_size").alias("n"), F.sum("_wanted").alias("w")).first()
     scale = budget * (total["n"] or 0) / (total["w"] or 1.0)
     rate = F.when(F.col("_size") == 0, UNIT).otherwise(F.round(F.lit(scale) * F.col("_wanted") / F.col("_size") * UNIT)).cast("long")
-    whole = F.greatest(F.lit(0), F.floor(F.col("rate_ppm") / UNIT) - MOST_MEAN).cast("long")
-    mean = (F.col("rate_ppm") - F.col("_whole") * UNIT).cast("double") / UNIT
+    draws = F.greatest(F.lit(1), F.ceil(F.col("rate_ppm") / (UNIT * MOST_MEAN))).cast("long")
+    mean = F.col("rate_ppm").cast("double") / UNIT / F.col("_draws")
     steps = F.ceil(F.col("_mean") + 12 * F.sqrt("_mean") + 20).cast("int")
     first = F.exp(-F.col("_mean"))
     grow = lambda a, k: F.struct((a["p"] * F.col("_mean") / k).alias("p"), (a["c"] + a["p"] * F.col("_mean") / k).alias("c"), F.concat(a["all"], F.array(a["c"] + a["p"] * F.col("_mean") / k)).alias("all"))
-    table = sizes.withColumn("rate_ppm", rate).withColumn("_whole", whole).withColumn("_mean", mean)
+    table = sizes.withColumn("rate_ppm", rate).withColumn("_draws", draws).withColumn("_mean", mean)
     cdf = F.aggregate(F.sequence(F.lit(1), steps), F.struct(first.alias("p"), first.alias("c"), F.array(first).alias("all")), grow, lambda a: a["all"])
-    return table.select("_source", "rate_ppm", "_whole", cdf.alias("_cdf"))
+    return table.select("_source", "rate_ppm", "_draws", cdf.alias("_cdf"))
 
 
 def replicate(docs: DataFrame, weights: dict[str, float] | None = None, budget: float = 1.0, seed: int = SEED, key: str = "doc_id", source: str = "source", text: str = "text", shuffle: bool = True) -> DataFrame:
@@ -67,12 +67,15 @@ def replicate(docs: DataFrame, weights: dict[str, float] | None = None, budget:
         table = table.hint("shuffle_merge")
     new = ("rate_ppm", "copies", "copy", "shuffle_key")
     columns = [F.col(c) for c in docs.columns if c not in new]
-    drawn = uniform(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
-    joined = docs.select(*columns).join(table, F.col(source).eqNullSafe(F.col("_source"))).withColumn("_u", drawn)
-    counted = joined.withColumn("copies", F.col("_whole") + F.size(F.filter("_cdf", lambda c: c <= F.col("_u"))).cast("long")).where("copies > 0")
+    name = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(key).cast("string"), F.lit("null")))
+    below = lambda u: F.size(F.filter("_cdf", lambda c: c <= u)).cast("long")
+    joined = docs.select(*columns).join(table, F.col(source).eqNullSafe(F.col("_source"))).withColumn("_u", uniform(name))
+    more = lambda n, j: n + below(uniform(F.concat_ws(":", name, j.cast("string"))))
+    further = F.when(F.col("_draws") > 1, F.aggregate(F.sequence(F.lit(1).cast("long"), F.greatest(F.lit(1), F.col("_draws") - 1)), F.lit(0).cast("long"), more)).otherwise(0)
+    counted = joined.withColumn("copies", below(F.col("_u")) + further).where("copies > 0")
     copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     place = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(f"{seed}s"), F.coalesce(F.col(key).cast("string"), F.lit("null")), F.col("copy").cast("string"))), 1, 15), 16, 10).cast("long")
-    result = copies.withColumn("shuffle_key", place).drop("_source", "_whole", "_cdf", "_u")
+    result = copies.withColumn("shuffle_key", place).drop("_source", "_draws", "_cdf", "_u")
     if not shuffle:
         return result
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))

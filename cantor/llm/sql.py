@@ -29,10 +29,10 @@ def _mixing_sql() -> str:
     return f"""
 WITH sizes AS (SELECT source, sum(length(coalesce(text, '')))::BIGINT AS size, sqrt(sum(length(coalesce(text, '')))::DOUBLE) AS wanted FROM documents GROUP BY source),
 rates AS (SELECT source, CASE WHEN size = 0 THEN {u} ELSE round((SELECT sum(size)::DOUBLE / sum(wanted) FROM sizes) * wanted / size * {u})::BIGINT END AS rate_ppm FROM sizes),
-means AS (SELECT *, greatest(0, rate_ppm // {u} - {mixing.MOST_MEAN}) AS whole, (rate_ppm - greatest(0, rate_ppm // {u} - {mixing.MOST_MEAN}) * {u})::DOUBLE / {u} AS mean FROM rates),
+means AS (SELECT *, rate_ppm::DOUBLE / {u} / draws AS mean FROM (SELECT *, greatest(1, ceil(rate_ppm / {u * mixing.MOST_MEAN}))::BIGINT AS draws FROM rates)),
 terms AS (SELECT source, k, exp(-mean) * pow(mean, k) / gamma(k + 1) AS p FROM means, LATERAL (SELECT unnest(range(0, ceil(mean + 12 * sqrt(mean) + 20)::BIGINT + 1)) AS k)),
 steps AS (SELECT source, list(c ORDER BY k) AS cdf FROM (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM terms) GROUP BY source),
-drawn AS (SELECT d.*, m.rate_ppm, m.whole + len(list_filter(s.cdf, lambda c: c <= ('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / {2**52}::DOUBLE)) AS copies
+drawn AS (SELECT d.*, m.rate_ppm, list_sum(list_transform(range(0, m.draws), lambda j: len(list_filter(s.cdf, lambda c: c <= ('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, 'null') || CASE WHEN j = 0 THEN '' ELSE ':' || j END), 1, 13))::BIGINT / {2**52}::DOUBLE))))::BIGINT AS copies
   FROM documents d JOIN means m ON d.source IS NOT DISTINCT FROM m.source JOIN steps s ON d.source IS NOT DISTINCT FROM s.source)
 SELECT *, ('0x' || substr(md5('{mixing.SEED}s:' || coalesce(doc_id::VARCHAR, 'null') || ':' || copy), 1, 15))::BIGINT AS shuffle_key
 FROM (SELECT *, unnest(range(1, copies + 1)) AS copy FROM drawn)"""
