@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from pathlib import Path
@@ -11,19 +12,33 @@ from urllib.parse import urlparse
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
-#: Rows per Arrow batch sent to a Python worker. Texts may be long, so batches are short.
-ARROW_ROWS = 1000
+#: Rows and bytes per Arrow batch sent to a Python worker. Texts may be long, so batches are short.
+ARROW_ROWS, ARROW_BYTES = 1000, 64 << 20
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder that all executors share (spark.checkpoint.dir).
 
-    Only where the session names none, as in tests on one machine, a folder of this machine is used.
+    Where the session names none, a folder of this machine is used if the master is local; else it is an error.
     """
+    return f"{_shared(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _shared(spark: SparkSession) -> str:
+    """What this application writes is in one folder, which clear() removes."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="cantor-")
-    return f"{root.rstrip('/')}/cantor/{name}-{uuid.uuid4().hex}"
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = f"file://{tempfile.gettempdir()}"
+    return f"{root.rstrip('/')}/cantor/{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Removes all that this application has written to the shared folder. Results that still read it must be saved before."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_shared(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -34,11 +49,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def short_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Bounds the rows per Arrow batch for this session (never raises a lower bound)."""
-    now = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
-    if now <= 0 or now > rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def short_batches(spark: SparkSession, rows: int = ARROW_ROWS, size: int = ARROW_BYTES) -> None:
+    """Bounds the rows and bytes per Arrow batch for this session (never raises a lower bound).
+
+    Plans read these settings when they run, so they can't be set back here.
+    """
+    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = spark.conf.get(key, None)
+        if now is not None and not 0 < int(re.sub("[^0-9-]", "", now)) <= most:
+            spark.conf.set(key, str(most))
 
 
 def store(uri: str) -> tuple[pafs.FileSystem, str]:
