@@ -359,7 +359,8 @@ def _rest(big: DataFrame, found: DataFrame, texts: DataFrame, threshold: int) ->
     if not split.limit(1).count():
         return None
     tiles = F.ceil(F.col("_all") / (BLOCK // 2))
-    rows = named.join(split, "cluster").select("cluster", "part", "node", (F.col("part") != F.col("major")).alias("minor"), tiles.alias("tiles"))
+    # Written, so that the join with the texts knows how few they are.
+    rows = materialize(named.join(split, "cluster").select("cluster", "part", "node", (F.col("part") != F.col("major")).alias("minor"), tiles.alias("tiles")), "rows_of_rest")
     head = "cluster long, part long, node long, minor boolean, tiles long"
     # A repeated id may have several texts: each is a row.
     sets = materialize(rows.join(texts, "node").select("cluster", "part", "node", "minor", "tiles", "text").mapInArrow(_shingles, f"{head}, shingles array<long>"), "sets_of_rest")
