@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import rounded
+from ..functions.numbers import rounded_all
 
 
 def named_words(aligned: DataFrame, words: DataFrame, fragments: DataFrame) -> DataFrame:
@@ -31,7 +31,17 @@ def word_archive(named: DataFrame) -> DataFrame:
 def in_seconds(rows: DataFrame, ratios: DataFrame) -> DataFrame:
     """Phrase rows with begin_secs (two places) and confidence (three), rounded as the document promises."""
     timed = rows.join(ratios, "book_id")
-    return timed.withColumn("begin_secs", rounded(2)(F.col("bf") * F.col("ratio"))).withColumn("confidence", rounded(3)(F.col("conf")))
+    numbers = rounded_all(begin=(F.col("bf") * F.col("ratio"), 2), conf=(F.col("conf"), 3))
+    return timed.withColumn("_n", numbers).withColumns({"begin_secs": F.col("_n.begin"), "confidence": F.col("_n.conf"), "end_secs": F.col("ef") * F.col("ratio")}).drop("_n")
+
+
+def word_map(timed: DataFrame) -> DataFrame:
+    """book_id, words: map of anchor to its words in order. timed: anchor_id, g, norm, bf, score, ratio."""
+    numbers = rounded_all(begin=(F.col("bf") * F.col("ratio"), 2), conf=(F.col("score"), 3))
+    rows = timed.withColumn("_n", numbers)
+    ordered = F.array_sort(F.collect_list(F.struct("g", F.col("_n.begin").alias("begin_secs"), F.col("norm").alias("word"), F.col("_n.conf").alias("confidence"))))
+    per = rows.groupBy("book_id", "anchor_id").agg(ordered.alias("list"))
+    return per.groupBy("book_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("anchor_id", "list")))).alias("words"))
 
 
 def phrase_map(rows: DataFrame) -> DataFrame:

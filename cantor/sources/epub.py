@@ -6,9 +6,11 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
+from urllib.parse import urlparse
 from xml.etree import ElementTree
 
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,6 +133,17 @@ def anchored(files: DataFrame) -> DataFrame:
     return named.select("book_id", F.coalesce("body", F.raise_error(F.concat("book_id", F.lit(": no readable body after conversion"))).cast("string")).alias("body"))
 
 
+def _store(uri: str) -> tuple[pafs.FileSystem, str]:
+    parts = urlparse(uri)
+    return (pafs.LocalFileSystem(), parts.path) if parts.scheme in ("", "file") else pafs.FileSystem.from_uri(uri)
+
+
+def load(uri: str) -> bytes:
+    fs, path = _store(uri)
+    with fs.open_input_stream(path, compression=None) as f:
+        return f.read()
+
+
 def write(out: str, texts: dict[str, str], audio: dict[str, bytes], folder: str = "book") -> None:
     """A package: the media type first and stored, the rest deflated. For the edge, a book at a time.
 
@@ -140,7 +153,9 @@ def write(out: str, texts: dict[str, str], audio: dict[str, bytes], folder: str
     ElementTree.SubElement(ElementTree.SubElement(root, "rootfiles"), "rootfile", {"full-path": f"{folder}/content.opf", "media-type": "application/oebps-package+xml"})
     files = {"META-INF/container.xml": ElementTree.tostring(root, encoding="utf-8", xml_declaration=True)}
     files |= {f"{folder}/{name}": data for name, data in {overlay.STYLE: overlay.STYLE_TEXT, **texts, **audio}.items()}
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+    fs, path = _store(out)
+    fs.create_dir(path.rpartition("/")[0], recursive=True)
+    with fs.open_output_stream(path, compression=None) as f, zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED) as z:
         z.writestr(zipfile.ZipInfo("mimetype"), "application/epub+zip", zipfile.ZIP_STORED)
         for name, data in files.items():
             z.writestr(name, data)

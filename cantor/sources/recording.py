@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 import subprocess
 import time
+import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
 
@@ -41,8 +43,9 @@ def local_audio(spark: SparkSession, path: str) -> DataFrame:
     """position, path, length, file: sound files of a folder in playing order, which is that of their names."""
     names = spark.read.format("binaryFile").option("pathGlobFilter", "*.[mM][pP]3").load(path).select("path", "length")
     named = names.withColumn("name", F.element_at(F.split("path", "/"), -1))
-    # One folder's files; their names are few.
-    return named.withColumn("position", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("name"))).withColumn("file", F.concat(zero_padded("position"), F.lit(".mp3")))
+    # Numbered within the folder, as playing order is.
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    return named.withColumn("position", F.row_number().over(Window.partitionBy(folder).orderBy("name"))).withColumn("file", F.concat(zero_padded("position"), F.lit(".mp3")))
 
 
 def to_fetch(wanted: DataFrame, present: DataFrame) -> DataFrame:
@@ -78,6 +81,32 @@ def first_ok(urls: list[str], get: Callable) -> bytes:
     raise OSError(f"none of {', '.join(urls)} could be fetched")
 
 
+# Where a book's file may lie, the richer one first.
+EPUB_URLS = ("https://www.gutenberg.org/cache/epub/{id}/pg{id}-images.epub", "https://www.gutenberg.org/cache/epub/{id}/pg{id}.epub")
+
+
+def answered(url: str, agent: str = AGENT, timeout: int = 120) -> bytes | None:
+    """What a URL answers, or None where it has nothing."""
+    try:
+        with urllib.request.urlopen(urllib.request.Request(url, headers={"user-agent": agent}), timeout=timeout) as answer:
+            return answer.read()
+    except urllib.error.HTTPError:
+        return None
+
+
+def fetch_epub(number: str, get: Callable = answered) -> bytes:
+    """A book's file by its number at its source."""
+    return first_ok([u.format(id=number) for u in EPUB_URLS], get)
+
+
+def copy_audio(files: list[str], folder: str, probe: Callable | None = None, reader: str | None = None) -> Iterator[dict]:
+    """Copies files in their order under numbers of their own, and measures each copy. For the driver's edge."""
+    for k, file in enumerate(files, 1):
+        name = f"{k:04d}.mp3"
+        shutil.copyfile(file, os.path.join(folder, name))
+        yield {"position": k, "file": f"audio/{name}", "secs": (probe or probe_secs)(os.path.join(folder, name)), "title": None, "reader": reader}
+
+
 def download_sections(rows: list[dict], folder: str, fetch: Callable = download, probe: Callable | None = None, pace: float = 0.5) -> Iterator[dict]:
     """In order, one at a time: fetches what isn't there (one retry), measures every file. For the driver's edge."""
     for row in rows:
