@@ -377,18 +377,20 @@ def _recorded(spark, d):
 
 
 def ctc_align(spark, d):
-    """Each paragraph of all documents aligned with planted sound of its own: (first word, end) frames of its words."""
-    rows = words.fragment_words(_fragments(spark, d)).select("book_id", "ord", F.transform("words", lambda w: w["norm"]).alias("said"))
+    """Each paragraph of all documents aligned, phrase by phrase, with planted sound of its own: (first word, end) frames of its words."""
+    rows = words.fragment_words(_fragments(spark, d)).select("book_id", "ord", F.transform("words", lambda w: w["norm"]).alias("said"), F.transform("words", lambda w: w["phrase"]).alias("phrase"))
 
     def run(frames):
         model = align.backend("letters")
         for pdf in frames:
             out = []
-            for book, ord_, said in zip(pdf["book_id"], pdf["ord"], pdf["said"], strict=True):
+            for book, ord_, said, phrase in zip(pdf["book_id"], pdf["ord"], pdf["said"], pdf["phrase"], strict=True):
                 if len(said):
-                    logits, _ = _said(list(said))
-                    [placed] = align.align_windows(logits, [(0, len(logits), list(said))], model)
-                    out += [(book, ord_, p.g, p.begin, p.end) for p in placed]
+                    logits, marks = _said(list(said))
+                    cuts = [0, *(k for k in range(1, len(said)) if phrase[k] != phrase[k - 1]), len(said)]
+                    windows = [(marks[low][0], min(len(logits), marks[high - 1][1] + QUIET // 4), list(said[low:high])) for low, high in zip(cuts, cuts[1:], strict=False)]
+                    for low, (start, _, _), placed in zip(cuts, windows, align.align_windows(logits, windows, model), strict=False):
+                        out += [(book, ord_, p.g, p.begin, p.end) for p in align.shifted(placed, start, low)]
             yield pd.DataFrame(out, columns=["book_id", "ord", "k", "bf", "ef"])
 
     return rows.mapInPandas(run, "book_id long, ord int, k long, bf long, ef long")
