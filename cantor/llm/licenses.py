@@ -88,7 +88,7 @@ WRAP = "\n([a-z])"
 END = '[.!?:;]+["\\x20\\x09\\x0B-\\x0D]|[.!?:;]*\\n'
 JUNK = "[^a-z0-9]+"
 #: Each bundled sentence has one of these.
-HINT = "(?i)licen|permi|copyright|redistrib|warrant|rights|compliance"
+HINT = "(?i)licen|permi|copyright|redistrib|warrant|rights|compliance|unencumbered"
 
 
 def known_pattern(sentences: dict[str, str]) -> str:
