@@ -343,7 +343,9 @@ def _parsed(spark, d):
 
 EMISSION_BLOCK = 500
 #: Planted sound: a frame of each letter and a blank after it, SPACED blanks after a word, QUIET at both ends, RATIO seconds a frame.
+#: Phrases of more than MOST_SAID words are aligned in parts, as the steps of a window take frames times letters.
 SPACED, QUIET, RATIO = 2, 200, 0.03
+MOST_SAID = 45
 MARK = f"{QUIET} + 2 * _letters + {SPACED} * g"
 
 
@@ -377,20 +379,25 @@ def _recorded(spark, d):
 
 
 def ctc_align(spark, d):
-    """Each paragraph of all documents aligned, phrase by phrase, with planted sound of its own: (first word, end) frames of its words."""
+    """Each paragraph of all documents aligned, by phrases and parts of long ones, with planted sound of its own: (first word, end) frames of its words."""
     rows = words.fragment_words(_fragments(spark, d)).select("book_id", "ord", F.transform("words", lambda w: w["norm"]).alias("said"), F.transform("words", lambda w: w["phrase"]).alias("phrase"))
 
+    def cut(pdf):
+        for book, ord_, said, phrase in zip(pdf["book_id"], pdf["ord"], pdf["said"], pdf["phrase"], strict=True):
+            if len(said):
+                logits, marks = _said(list(said))
+                cuts = [k for k in range(len(said)) if not k or phrase[k] != phrase[k - 1]]
+                cuts = [k for low, high in zip(cuts, [*cuts[1:], len(said)], strict=True) for k in range(low, high, MOST_SAID)] + [len(said)]
+                windows = [(marks[low][0], min(len(logits), marks[high - 1][1] + QUIET // 4), list(said[low:high])) for low, high in zip(cuts, cuts[1:], strict=False)]
+                yield (book, ord_, cuts, windows), logits, windows
+
     def run(frames):
         model = align.backend("letters")
         for pdf in frames:
             out = []
-            for book, ord_, said, phrase in zip(pdf["book_id"], pdf["ord"], pdf["said"], pdf["phrase"], strict=True):
-                if len(said):
-                    logits, marks = _said(list(said))
-                    cuts = [0, *(k for k in range(1, len(said)) if phrase[k] != phrase[k - 1]), len(said)]
-                    windows = [(marks[low][0], min(len(logits), marks[high - 1][1] + QUIET // 4), list(said[low:high])) for low, high in zip(cuts, cuts[1:], strict=False)]
-                    for low, (start, _, _), placed in zip(cuts, windows, align.align_windows(logits, windows, model), strict=False):
-                        out += [(book, ord_, p.g, p.begin, p.end) for p in align.shifted(placed, start, low)]
+            for (book, ord_, cuts, windows), found in align.align_recordings(cut(pdf), model):
+                for low, (start, _, _), placed in zip(cuts, windows, found, strict=False):
+                    out += [(book, ord_, p.g, p.begin, p.end) for p in align.shifted(placed, start, low)]
             yield pd.DataFrame(out, columns=["book_id", "ord", "k", "bf", "ef"])
 
     return rows.mapInPandas(run, "book_id long, ord int, k long, bf long, ef long")
