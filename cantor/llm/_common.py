@@ -9,8 +9,10 @@ import uuid
 from pathlib import Path
 from urllib.parse import urlparse
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows and bytes per Arrow batch sent to a Python worker. Texts may be long, so batches are short.
 ARROW_ROWS, ARROW_BYTES = 1000, 64 << 20
@@ -49,6 +51,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def smallest(rows: DataFrame, total: int, sample: int, *order: str) -> pa.Table:
+    """The first `sample` of `total` rows in some order, of which the first column is a hash as hexadecimal digits.
+
+    A bound on the hash keeps rows that can't be chosen out of the sort. Where too few lie under it, as many rows share an id or
+    have none, all are sorted.
+    """
+    if total > 2 * sample:
+        few = rows.where(F.col(order[0]) < f"{int(1.5 * sample / total * 2**32):08x}").orderBy(*order).limit(sample).toArrow()
+        if few.num_rows == sample:
+            return few
+    return rows.orderBy(*order).limit(sample).toArrow()
+
+
 def short_batches(spark: SparkSession, rows: int = ARROW_ROWS, size: int = ARROW_BYTES) -> None:
     """Bounds the rows and bytes per Arrow batch for this session (never raises a lower bound).
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import materialize
+from ._common import materialize, smallest
 
 SAMPLE, MOST, PER_LIST = 20_000, 200_000, 40
 LISTS, PARTS, CODES = 2.0, 16, 256
@@ -127,9 +127,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id
     lists = lists or max(1, min(round(LISTS * math.sqrt(total)), MOST // PER_LIST))
     sample = max(sample, min(MOST, PER_LIST * lists))
     hashed = rows.withColumn("h", F.md5(F.col("vec_id").cast("string")))
-    if total > 2 * sample:
-        hashed = hashed.where(F.col("h") < f"{min(0xFFFFFFFF, int(1.5 * sample / total * 2**32)):08x}")
-    learnt = hashed.orderBy("h").limit(sample).select("v").toArrow().column(0).combine_chunks()
+    learnt = smallest(hashed, total, sample, "h", "v").column("v").combine_chunks()
     model = Quantiser(_matrix(learnt), lists)
     probes = probes or probes_for(_matrix(learnt), model, k)
     shared = spark.sparkContext.broadcast(model)

@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import short_batches
+from ._common import short_batches, smallest
 
 UNKNOWN = "und"
 SAMPLE, SAMPLE_CHARS, WORDS, GRAMS = 4000, 20_000, 20_000, 30_000
@@ -145,12 +145,8 @@ def fit(docs: DataFrame, learnt: Column, key: str = "doc_id", text: str = "text"
     """The model of at most `sample` rows: of those where `learnt` holds, the ones with the smallest hash of the id."""
     usable = docs.where(learnt & F.col(text).isNotNull() & F.col(label).isNotNull() & (F.length(text) <= SAMPLE_CHARS))
     ranked = usable.select(F.col(text).alias("t"), F.col(label).alias("l"), F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("h"))
-    # The hash's bound keeps texts of rows that can't be chosen out of the sort.
-    total = usable.select(F.count("*")).first()[0]
-    if total > 2 * sample:
-        ranked = ranked.where(F.col("h") < f"{min(0xFFFFFFFF, int(1.5 * sample / total * 2**32)):08x}")
-    rows = ranked.orderBy("h", "l", "t").limit(sample).collect()
-    return Model([(r["t"], r["l"]) for r in rows], **sizes)
+    rows = smallest(ranked, usable.select(F.count("*")).first()[0], sample, "h", "l", "t")
+    return Model(zip(rows.column("t").to_pylist(), rows.column("l").to_pylist(), strict=True), **sizes)
 
 
 def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import short_batches
+from ._common import short_batches, smallest
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", "email", "ip", "B-card", "I-card", "B-phone", "I-phone")
@@ -368,10 +368,7 @@ def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Field:
     usable = docs.where(F.col(text).rlike("[0-9@]") & (F.length(text) <= SAMPLE_CHARS)).select(F.col(text).alias("t"), F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("h"))
-    total = usable.count()
-    # The hash's bound keeps texts that can't be chosen out of the sort.
-    few = usable.where(F.col("h") < f"{int(1.5 * sample / total * 2**32):08x}") if total > 2 * sample else usable
-    return Field().fit([r["t"] for r in few.orderBy("h", "t").limit(sample).collect()])
+    return Field().fit(smallest(usable, usable.count(), sample, "h", "t").column("t").to_pylist())
 
 
 def find(docs: DataFrame, model: Field, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), redact: bool = False) -> DataFrame:

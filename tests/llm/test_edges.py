@@ -105,3 +105,17 @@ def test_separators_are_stitched_over_blocks(spark, tmp_path):
     files = spark.createDataFrame([(f"file://{tmp_path}/t.bin",)], "file string")
     got = sorted(tuple(r)[1:] for r in tokenscan.scan(files, separator=9, block=4).collect())
     assert got == [(0, 0, 2, True), (1, 3, 0, True), (2, 4, 5, True), (3, 10, 1, False)]
+
+
+def test_samples_are_drawn_where_ids_are_missing_or_repeated(spark):
+    import hashlib
+
+    late = next(i for i in range(1000) if hashlib.md5(str(i).encode()).hexdigest()[0] == "f")
+    rows = [(None, f"mail {i} to a{i}@example.org again and again", "en") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert pii.fit(docs, sample=2).trained
+    model = langid.fit(docs, F.lit(True), sample=2)
+    assert model.labels == ["en"] and "again" in model.words
+    vectors = spark.createDataFrame([(late, [1.0, float(i)]) for i in range(200)] + [(-1, [1.0, 1.0])], "vec_id long, embedding array<float>")
+    [found] = ann.search(vectors, F.col("vec_id") == -1, sample=1, lists=1).collect()
+    assert tuple(found) == (-1, 1, late, 200.0)
