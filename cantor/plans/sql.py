@@ -118,7 +118,29 @@ _BASE = "coalesce(nullif({0}, ''), CASE WHEN {1} = 1 THEN 'beginning' ELSE 'sect
 _ATTR = "replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;')"
 _CS = "({0}) // 100 || '.' || lpad((({0}) % 100)::VARCHAR, 2, '0') || '0s'"
 
+#: The given pages hold a list of links, an article whose first paragraph may be left open after a line break, and a footer.
+_READ = "read AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?s)<script>.*?</script>|<style>.*?</style>|<!--.*?-->', '', 'g'), '<br>(<p>|</article>)', '<br></b></p>\\1', 'g') AS h FROM pages)"
+_PARAGRAPHS = f"WITH {_READ}, p AS (SELECT page_id, unnest(l) AS raw, generate_subscripts(l, 1) AS i FROM (SELECT page_id, regexp_extract_all(h, '(?s)<p>(.*?)</p>', 1) AS l FROM read))"
+
+
+def _decoded(x: str, amp: str = "&", lt: str = "<", gt: str = ">") -> str:
+    out = f"replace(regexp_replace({x}, '&amp;?', chr(1), 'g'), '&', '{amp}')"
+    for name, to in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("lt", lt), ("gt", gt)):
+        out = f"regexp_replace({out}, '{amp}{name};?', '{to}', 'g')"
+    return f"replace({out}, chr(1), '{amp}')"
+
+
+_WRITTEN = _decoded("{}", "&amp;", "&lt;", "&gt;")
+_PLAIN = _decoded("regexp_replace({}, '<[^>]*>', '', 'g')")
+
 ORACLE_SQL: dict[str, str] = {
+    "paragraphs_html": f"{_PARAGRAPHS} SELECT page_id, i - 1 AS pos, trim(regexp_replace({_PLAIN.format('raw')}, '\\s+', ' ', 'g')) AS text FROM p",
+    "anchored_html": f"{_PARAGRAPHS}, t AS (SELECT page_id AS book_id, i AS ord, 'text-p' || i AS anchor_id, {_entities(_WRITTEN.format('raw'))} AS text FROM p) SELECT * FROM t WHERE len(string_split(text, ' ')) >= 2",
+    "html_blocks": f"""WITH {_READ}, links AS (SELECT page_id, regexp_extract_all(h, '<li><a href="([^"]*)">([^<]*)</a></li>', 1) AS l, regexp_extract_all(h, '<li><a href="([^"]*)">([^<]*)</a></li>', 2) AS w FROM read),
+link AS (SELECT page_id, unnest(l) AS l, unnest(w) AS w, generate_subscripts(l, 1) AS i FROM links), target AS (SELECT page_id, w, i, {_HREF.format('l')} AS l FROM (SELECT * REPLACE ({_decoded('l')} AS l) FROM link)),
+navs AS (SELECT page_id, '<nav><ul>' || string_agg('<li><a href="' || replace({_ATTR.format('l')}, '''', '&#x27;') || '">' || {_WRITTEN.format('w')} || '</a></li>', '' ORDER BY i) || '</ul></nav>' AS html FROM target GROUP BY page_id),
+parts AS (SELECT page_id AS book_id, 0 AS block, html FROM navs UNION ALL SELECT page_id, 1, {_WRITTEN.format("regexp_extract(h, '(?s)<article>.*</article>')")} FROM read UNION ALL SELECT page_id, 2, {_WRITTEN.format("regexp_extract(h, '(?s)<footer>.*</footer>')")} FROM read)
+SELECT * FROM (SELECT book_id, block, html, {_PLAIN.format('html')} AS text FROM parts) WHERE NOT regexp_matches(text, '(?i)project gutenberg|start of (the|this) project|end of (the|this) project')""",
     "minted_ids": _with(f"SELECT book_id, n - 1 AS pos, id FROM minted", "lines").replace("WITH ", "WITH RECURSIVE ", 1).replace("\nSELECT book_id, n - 1", f",\nbases AS MATERIALIZED (SELECT book_id, list({_BASE.format(_slug('text'), 'ord')} ORDER BY ord) AS b FROM lines GROUP BY book_id),\n{_MINT}\nSELECT book_id, n - 1", 1),
     "section_anchors": _with("SELECT book_id, section, block, id || '-p' || row_number() OVER (PARTITION BY book_id, section ORDER BY block) AS anchor_id FROM sectioned JOIN minted m USING (book_id) WHERE m.n = section AND NOT h", "sectioned").replace("WITH ", "WITH RECURSIVE ", 1).replace("\nSELECT book_id, section, block, id", f",\nbases AS MATERIALIZED (SELECT book_id, list({_BASE.format(_slug('title'), 'section')} ORDER BY section) AS b FROM (SELECT DISTINCT book_id, section, title FROM sectioned) GROUP BY book_id),\n{_MINT}\nSELECT book_id, section, block, id", 1),
     "measures": _with("""SELECT c.book_id, paras::INT AS paras, placed::INT AS placed, printf('%.3f', first_body / body_paras)::DOUBLE AS start_gap, printf('%.3f', (body_paras - 1 - last_body) / body_paras)::DOUBLE AS end_gap, true AS has_ends,
