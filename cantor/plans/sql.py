@@ -116,6 +116,8 @@ _MINT = """fold(book_id, i, ids) AS (SELECT book_id, 0, []::VARCHAR[] FROM bases
 minted AS (SELECT book_id, unnest(ids) AS id, generate_subscripts(ids, 1) AS n FROM (SELECT book_id, ids FROM fold JOIN bases USING (book_id) WHERE i = len(b)))"""
 _BASE = "coalesce(nullif({0}, ''), CASE WHEN {1} = 1 THEN 'beginning' ELSE 'section-' || {1} END)"
 _ATTR = "replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;')"
+_XML = '<?xml version="1.0" encoding="utf-8"?>'
+_PAGE = f'{_XML}<!DOCTYPE html><html xmlns="http://www.w3.org/1999/xhtml" xmlns:epub="http://www.idpf.org/2007/ops" lang="'
 _CS = "({0}) // 100 || '.' || lpad((({0}) % 100)::VARCHAR, 2, '0') || '0s'"
 
 #: The given pages hold a list of links, an article whose first paragraph may be left open after a line break, and a footer.
@@ -184,6 +186,19 @@ LEFT JOIN (SELECT book_id, count(*) AS synced FROM pars GROUP BY book_id) USING
 LEFT JOIN (SELECT book_id, string_agg(reader, ',' ORDER BY p) AS readers FROM (SELECT book_id, reader, min(position) AS p FROM used WHERE reader <> '' GROUP BY ALL) GROUP BY book_id) USING (book_id)""",
         "pars", "line", "prows",
     ).replace("\n, used AS", ",\nused AS"),
+    "overlay_package": _with(
+        f""", used AS (SELECT line.* FROM line SEMI JOIN (SELECT book_id, section AS position FROM pars) USING (book_id, position)),
+named AS (SELECT book_id, string_agg('<dc:contributor id="reader' || i || '">' || reader || '</dc:contributor><meta property="role" refines="#reader' || i || '" scheme="marc:relators">nrt</meta>', '' ORDER BY i) AS contributors
+  FROM (SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY p) AS i FROM (SELECT book_id, reader, min(position) AS p FROM used WHERE reader <> '' GROUP BY ALL)) GROUP BY book_id),
+sounds AS (SELECT book_id, {_CS.format('sum(secs_cs)::BIGINT')} AS span, string_agg('<item id="sound-' || position || '" href="sound/' || lpad(position::VARCHAR, 4, '0') || '.mp3" media-type="audio/mpeg"/>', '' ORDER BY position) AS items FROM used GROUP BY book_id),
+bodies AS (SELECT book_id, '<section id="text">' || chr(10) || string_agg('<p id="text-p' || ord || '">' || {_ESC.format('text')} || '</p>', chr(10) ORDER BY ord) || chr(10) || '</section>' AS body FROM lines GROUP BY book_id),
+told AS (SELECT doc_id AS book_id, {_LANG.format('lang')} AS language, {_ESC.format('string_split(text, chr(10))[1]')} AS title FROM documents)
+SELECT book_id, '{_XML}<package xmlns="http://www.idpf.org/2007/opf" version="3.0" unique-identifier="book-id" prefix="media: http://www.idpf.org/epub/vocab/overlays/#"><metadata xmlns:dc="http://purl.org/dc/elements/1.1/"><dc:identifier id="book-id">urn:read-along:documents:' || book_id || '</dc:identifier><dc:title>' || title || '</dc:title><dc:language>' || language || '</dc:language><dc:creator>Unknown</dc:creator>' || contributors || '<dc:source>https://example.org/?a&amp;b</dc:source><meta property="dcterms:modified">2024-01-01T00:00:00Z</meta><meta property="media:duration">' || span || '</meta><meta property="media:duration" refines="#overlay">' || span || '</meta><meta property="media:active-class">cantor-spoken</meta></metadata><manifest><item id="text" href="book.xhtml" media-type="application/xhtml+xml" media-overlay="overlay"/><item id="overlay" href="book.smil" media-type="application/smil+xml"/><item id="contents" href="nav.xhtml" media-type="application/xhtml+xml" properties="nav"/><item id="style" href="style.css" media-type="text/css"/>' || items || '</manifest><spine><itemref idref="text"/></spine></package>' AS opf,
+  '{_PAGE}' || language || '" xml:lang="' || language || '"><head><title>' || title || '</title><link rel="stylesheet" href="style.css" type="text/css"/></head><body>' || body || '</body></html>' AS xhtml,
+  '{_PAGE}' || language || '" xml:lang="' || language || '"><head><title>Contents</title></head><body><nav epub:type="toc"><h2>Contents</h2><ol><li><a href="book.xhtml">' || title || '</a></li></ol></nav></body></html>' AS nav
+FROM named JOIN sounds USING (book_id) JOIN told USING (book_id) JOIN bodies USING (book_id)""",
+        "pars", "line", "lines",
+    ).replace("\n, used AS", ",\nused AS"),
     "clock_text": _with("SELECT book_id, anchor_id, whole_begin // 100 || '.' || lpad((whole_begin % 100)::VARCHAR, 2, '0') || '0s' AS clock, CASE WHEN h > 0 THEN h || 'h' || lpad(m::VARCHAR, 2, '0') || 'm' ELSE m || 'm' END AS length FROM (SELECT *, (whole_begin // 10) // 3600 AS h, floor((whole_begin // 10) % 3600 / 60 + 0.5)::BIGINT AS m FROM begins)", "begins"),
     "text_fingerprint": "SELECT doc_id, sha256(text) AS sha256, '1.0+' || left(sha256(text), 12) AS fingerprint FROM documents",
     "sectioning": _with("SELECT book_id, section, title AS section_title, count(*) AS blocks, min(block) AS first_block FROM sectioned GROUP BY ALL", "sectioned"),
