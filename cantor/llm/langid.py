@@ -150,17 +150,19 @@ def fit(docs: DataFrame, learnt: Column, key: str = "doc_id", text: str = "text"
 
 
 def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, lang_pred, score, and the columns named in keep."""
+    """doc_id, lang_pred, score, and the columns named in keep, of which the text itself may be one: it is sent once."""
     spark = docs.sparkSession
     short_batches(spark)
     shared = spark.sparkContext.broadcast(model)
+    first = 0 if text in keep else 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for b in batches:
             got = [model.predict(x.as_py()) for x in b.column(0)]
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=[*b.schema.names[1:], "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns[first:], pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=[*names, "lang_pred", "score"])
 
-    rows = docs.select(F.col(text).alias("_text"), F.col(key).alias("doc_id"), *[c for c in keep if c != "doc_id"])
-    kinds = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes[1:])
+    rows = docs.select(F.col(text).alias("_text"), F.col(key).alias("doc_id"), *[c for c in keep if c not in ("doc_id", text)])
+    names = [text, *rows.columns[1:]][first:]
+    kinds = ", ".join(f"`{n}` {t}" for n, (_, t) in zip(names, rows.dtypes[first:], strict=True))
     return rows.mapInArrow(run, f"{kinds}, lang_pred string, score double")

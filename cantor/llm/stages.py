@@ -23,9 +23,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """
     workers_import(spark)
     model = langid.fit(docs, F.lit(True))
-    found = langid.identify(docs.select(*COLUMNS).withColumn("_body", F.col("text")), model, keep=("_body", "lang", "source", "n_chars"))
+    found = langid.identify(docs.select(*COLUMNS), model, keep=("text", "lang", "source", "n_chars"))
     good = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return good.select("doc_id", F.col("_body").alias("text"), F.col("lang_pred").alias("lang"), "source", "n_chars")
+    return good.select("doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
