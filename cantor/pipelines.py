@@ -105,7 +105,10 @@ def alignments(bodies: DataFrame, chunks: DataFrame, model: str = "letters", blo
 
 
 def exported(docs: DataFrame, force: bool = False, modified: Column | None = None) -> DataFrame:
-    """book_id, opf, xhtml, nav, smil, used (files of sound), synced, skipped, of documents with their body. What can't be exported is an error."""
+    """book_id, opf, xhtml, nav, smil, used (files of sound), synced, skipped, of documents with their body. What can't be exported is an error.
+
+    A document of which nothing is spoken has no smil. Joins keep every document: an inner join with an empty side would end before the error is raised.
+    """
     problem = document.export_problem(F.col("body"), force)
     sure = docs.withColumn("body", F.when(problem.isNotNull(), F.raise_error(problem).cast("string")).otherwise(F.col("body")))
     base = sure.select("book_id", "body", F.col("book.title").alias("title"), F.col("book.author").alias("author"), F.col("book.language").alias("language"), F.col("book.source.kind").alias("kind"), F.col("book.source.id").alias("id"), F.col("book.source.url").alias("url"), F.col("audio.source.url").alias("audio_url"))
@@ -120,16 +123,18 @@ def exported(docs: DataFrame, force: bool = False, modified: Column | None = Non
     named = base.join(overlay.readers(used), "book_id", "left")
     texts = base.select("book_id", overlay.xhtml("body", "title", "language").alias("xhtml"), overlay.nav("body", "title", "language").alias("nav"))
     package = overlay.opf(named, used, modified if modified is not None else X.now_iso(seconds=True))
-    return package.join(texts, "book_id").join(overlay.smil(pars), "book_id").join(files, "book_id").join(told.select("book_id", "synced", "skipped"), "book_id")
+    for more in (texts, overlay.smil(pars), files, told.select("book_id", "synced", "skipped")):
+        package = package.join(more, "book_id", "left")
+    return package
 
 
 def write_packages(packages: DataFrame, folder: str, sound: str) -> DataFrame:
-    """book_id, file: a package per book under a shared folder; files of sound are read from another. A book is written by the task that has it."""
+    """book_id, file: a package per book under a shared folder; files of sound are read from another. A book is written by the task that has it; one without smil isn't written."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             out = []
-            for row in f.itertuples(index=False):
+            for row in f[f["smil"].notna()].itertuples(index=False):
                 texts = {"content.opf": row.opf, overlay.BOOK: row.xhtml, overlay.CONTENTS: row.nav, overlay.OVERLAY: row.smil}
                 audio = {f"sound/{u['position']:04d}.mp3": epub.load(f"{sound}/{u['file']}") for u in row.used}
                 name = f"{folder}/{str(row.book_id).rstrip('/').rpartition('/')[2]}.epub"
