@@ -403,7 +403,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = rows.repartitionByRange(parts, "key", "doc_id").sortWithinPartitions("key", "doc_id")
     coarse = materialize(order.mapInArrow(partial(_forest, of=threshold), "a long, b long, alike boolean"), "coarse")
-    clusters = components(coarse.where("not alike").select("a", "b").distinct())
+    clusters = components(coarse.where("not alike").select("a", "b"))
     # Exact links within the clusters.
     groups, big = _dealt(clusters, coarse.where("alike").select("a", "b"))
     # A repeated id stands once; its rows may differ, and each goes with its own set's representative.
