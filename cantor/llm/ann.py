@@ -10,7 +10,11 @@ twice the rows asked for, so that no query comes back short), in blocks of QUERI
 returns its NEAR best, ties to smaller ids. The RERANK best of a query are scored on the original vectors in
 double precision.
 
-Recall against brute force is measured in the tests and given in the README.
+Check: codes can't tell rows apart that lie closer together than the codebooks' entries, and the probes are a guess from the sample. So the k-th best score
+found bounds what is missing: a list whose rows lie within a radius of its centroid holds nothing better for a query if
+query . centroid + |query| * radius is below that score. A query goes to the shards of all other lists, and what reaches its
+bound there is scored in the same way and joins what was found; so the result is that of brute force. Clustered vectors
+leave out most lists; with evenly spread ones every query meets most rows.
 
 Defined results: vectors that are null, zero, or hold a null or non-finite component take no part; shorter vectors are as
 if they ended in zeros. Rows with a null id take no part either. Repeated ids are candidates once each: of the rows of one id the
@@ -114,6 +118,62 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1).astype(np.float32)
 
 
+def _exact(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+
+
+def _reach(q: np.ndarray, centroids: np.ndarray, radius: np.ndarray) -> np.ndarray:
+    """What no inner product of a query with a row within the radius of a centroid exceeds, rounding included."""
+    long = np.linalg.norm(q, axis=1)[:, None]
+    return q @ centroids.T + long * radius + 1e-9 * long * (np.linalg.norm(centroids, axis=1) + radius)
+
+
+def _distinct(x: np.ndarray, ids: np.ndarray, most: int) -> np.ndarray:
+    """Of equal rows, those with the `most` smallest ids, once each."""
+    _, same = np.unique(x, axis=0, return_inverse=True)
+    same = same.ravel()
+    order = np.lexsort((ids, same))
+    order = order[np.concatenate([[True], (np.diff(same[order]) != 0) | (np.diff(ids[order]) != 0)])]
+    new = np.concatenate([[True], np.diff(same[order]) != 0])
+    place = np.arange(len(order)) - np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+    return order[place < most]
+
+
+def _scores(q: np.ndarray, x: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Inner products of rows i of q with rows j of x, added up from the first component to the last, so that equal rows score alike."""
+    step = max(1, 4_000_000 // x.shape[1])
+    return np.concatenate([np.cumsum(q[i[k : k + step]] * x[j[k : k + step]], axis=1)[:, -1] for k in range(0, len(i), step)] or [np.zeros(0)])
+
+
+def reaching(asked: np.ndarray, q: np.ndarray, floor: np.ndarray, lists: np.ndarray, ids: np.ndarray, x: np.ndarray, centroids: np.ndarray, k: int) -> pd.DataFrame:
+    """query_id, vec_id, score: of the rows of some lists, those that reach a query's floor, its k best at most."""
+    some = _distinct(x, ids, k + 1)
+    some = some[np.argsort(lists[some], kind="stable")]
+    lists, ids, x = lists[some], ids[some], x[some]
+    room = (k + 1) * int(np.unique(ids, return_counts=True)[1].max())
+    slack = 1e-9 * np.linalg.norm(q, axis=1)
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    cuts = np.flatnonzero(np.concatenate([[True], np.diff(lists) != 0, [True]]))
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        centre = centroids[lists[a]][None]
+        away = np.linalg.norm(x[a:b] - centre, axis=1).max()
+        open_ = np.flatnonzero(~(_reach(q, centre, away)[:, 0] < floor))
+        if not len(open_):
+            continue
+        near = q[open_] @ x[a:b].T
+        low, loose = floor[open_], slack[open_] * np.linalg.norm(x[a:b], axis=1).max()
+        if b - a > room and (~(near < low[:, None])).sum() > room * len(open_):  # only the best of the list can be among the k
+            low = np.maximum(low, np.partition(near, b - a - room, axis=1)[:, b - a - room])
+        i, j = np.nonzero(~(near < (low - loose)[:, None]))
+        left.append(open_[i])
+        right.append(a + j)
+    i, j = np.concatenate(left), np.concatenate(right)
+    other = asked[i] != ids[j]
+    i, j = i[other], j[other]
+    found = pd.DataFrame({"query_id": asked[i], "vec_id": ids[j], "score": _scores(q, x, i, j)})
+    return found.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True]).drop_duplicates(["query_id", "vec_id"]).groupby("query_id").head(k)
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vector: str = "embedding", sample: int = SAMPLE, probes: int | None = None, lists: int | None = None) -> DataFrame:
     """The k nearest by inner product found for each row where is_query (a condition on vec_id) holds.
 
@@ -136,11 +196,13 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id
         for b in batches:
             if b.num_rows:
                 own, codes = shared.value.encode(_matrix(b.column(1)))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary())], names=["vec_id", "list", "code"])
+                away = np.linalg.norm(_exact(b.column(1)) - shared.value.centroids[own], axis=1)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(away), b.column(1)], names=["vec_id", "list", "code", "away", "v"])
 
-    index = materialize(rows.select("vec_id", "v").mapInArrow(encode, "vec_id long, list int, code binary"), "index")
+    index = materialize(rows.select("vec_id", "v").mapInArrow(encode, "vec_id long, list int, code binary, away double, v array<double>"), "index")
     # Shards: similar lists side by side, whole where they fit.
-    sizes = {r["list"]: r["count"] for r in index.groupBy("list").count().collect()}
+    held = index.groupBy("list").agg(F.count("*").alias("n"), F.max("away").alias("away")).collect()
+    sizes, radii = {r["list"]: r["n"] for r in held}, {r["list"]: r["away"] for r in held}
     direction = model.centroids @ model.centroids[0]
     first, width, shard, room = {}, {}, 0, SHARD
     for own in sorted(sizes, key=lambda x: (float(direction[x]), x)):
@@ -184,7 +246,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id
 
     routed = materialize(rows.where(is_query).select("vec_id", "v").mapInArrow(route, "shard int, query_id long, q binary, lists array<int>"), "routed")
     places = spark.createDataFrame([(x, first[x], width[x]) for x in first], "list int, _first int, _width int")
-    placed = index.join(F.broadcast(places), "list").withColumn("shard", (F.col("_first") + F.pmod(F.xxhash64("vec_id"), F.col("_width"))).cast("int")).drop("_first", "_width")
+    placed = index.select("vec_id", "list", "code").join(F.broadcast(places), "list").withColumn("shard", (F.col("_first") + F.pmod(F.xxhash64("vec_id"), F.col("_width"))).cast("int")).drop("_first", "_width")
     # Blocks of queries per shard: the shard's rows go to each of its blocks.
     blocks = materialize(routed.groupBy("shard").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("_blocks")), "blocks")
     asked = routed.join(blocks, "shard").withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("_blocks")).cast("int")).drop("_blocks")
@@ -222,4 +284,40 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id
     pairs = chosen.join(rows, "vec_id").select("query_id", "vec_id", "v").join(rows.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")), "query_id")
     dot = F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
     exact = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return pairs.groupBy("query_id", "vec_id").agg(F.max(dot).alias("score")).withColumn("rank", F.row_number().over(exact)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = materialize(pairs.groupBy("query_id", "vec_id").agg(F.max(dot).alias("score")).withColumn("rank", F.row_number().over(exact)).where(F.col("rank") <= k).select("query_id", "vec_id", "score"), "found")
+    reach = spark.sparkContext.broadcast((first, width, radii))
+
+    def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row per query and shard with a list that may hold what the query is missing."""
+        first, width, radii = reach.value
+        lists = np.array(sorted(radii))
+        centroids, radius = shared.value.centroids[lists].astype(np.float64), np.array([radii[x] for x in lists.tolist()])
+        of_shard: dict[int, list[int]] = {}
+        for at, own in enumerate(lists.tolist()):
+            for s in range(first[own], first[own] + width[own]):
+                of_shard.setdefault(s, []).append(at)
+        for whole in batches:
+            for b in (whole.slice(at, QUERIES) for at in range(0, whole.num_rows, QUERIES)):
+                q, floor = _exact(b.column(1)), b.column(2).to_numpy(zero_copy_only=False)
+                wanted = ~(_reach(q, centroids, radius) < floor[:, None])
+                raw = pa.array([x.tobytes() for x in q], pa.binary())
+                for s, own in of_shard.items():
+                    some = pa.array(np.flatnonzero(wanted[:, own].any(axis=1)))
+                    yield pa.RecordBatch.from_arrays([pa.array([s] * len(some), pa.int32()), b.column(0).take(some), raw.take(some), b.column(2).take(some)], names=["shard", "query_id", "q", "floor"])
+
+    enough = found.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("floor"))
+    floors = rows.where(is_query).withColumnRenamed("vec_id", "query_id").join(enough, "query_id", "left").select("query_id", "v", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
+    again = materialize(floors.mapInArrow(missing, "shard int, query_id long, q binary, floor double"), "missing")
+    blocks = materialize(again.groupBy("shard").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("_blocks")), "blocks")
+    asked = again.join(blocks, "shard").withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("_blocks")).cast("int")).drop("_blocks")
+    kept = index.select("vec_id", "list", "v").join(F.broadcast(places), "list").withColumn("shard", (F.col("_first") + F.pmod(F.xxhash64("vec_id"), F.col("_width"))).cast("int")).drop("_first", "_width")
+    kept = kept.join(blocks, "shard").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).drop("_blocks")
+
+    def checked(asked: pd.DataFrame, kept: pd.DataFrame) -> pd.DataFrame:
+        if not len(asked) or not len(kept):
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
+        q = np.stack([np.frombuffer(x, np.float64) for x in asked["q"]])
+        return reaching(asked["query_id"].to_numpy(), q, asked["floor"].to_numpy(), kept["list"].to_numpy(), kept["vec_id"].to_numpy(), np.stack(kept["v"]), shared.value.centroids.astype(np.float64), k)
+
+    more = asked.groupBy("shard", "block").cogroup(kept.groupBy("shard", "block")).applyInPandas(checked, "query_id long, vec_id long, score double")
+    return found.union(more).groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(exact)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
