@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 
 from cantor.operators import align
+from cantor.plans import catalogue
+from test_catalogue import FOLDER
 from test_whole_jobs import RATIO, book, vocabulary
 
 
@@ -18,3 +20,10 @@ def test_brackets_dealt_together_lie_where_they_were_planted(spark, monkeypatch,
     books = spark.createDataFrame([(1, RATIO, 150, len(made.sound), 25)], "book_id long, ratio double, n_words long, n_frames long, chunk long")
     placed = {r.g: r.bf for r in align.fine_align(align.brackets(found, books), text, sound, 500).collect()}
     assert len(placed) == 150 and np.all([placed[g] == marks[g] for g in range(150)])
+
+
+@pytest.mark.parametrize("name", ["bracket_align", "chain_align"])
+def test_words_and_sound_are_not_sent_through_the_driver(spark, name):
+    """Their sizes are underrated, as functions make them: at any size that Spark supposes, no join may broadcast."""
+    plan = catalogue.QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "Broadcast" not in plan
